@@ -157,17 +157,17 @@ def with_columns(t: Tables) -> DataFrame:
     )
 
 
-@case("q_to_df_names", "SELECT r_regionkey AS region_key, r_name AS region_name FROM region")
+@case("q_to_df_names", "SELECT doc_id AS document, quality AS good, toxic AS bad FROM labels")
 def to_df_names(t: Tables) -> DataFrame:
-    return t.region.toDF("region_key", "region_name")
+    return t.labels.toDF("document", "good", "bad")
 
 
 @case("q_alias_self_join", """
-SELECT a.n_nationkey AS child, b.n_nationkey AS parent FROM nation a JOIN nation b ON a.n_regionkey = b.n_nationkey""")
+SELECT a.o_orderkey AS child, b.o_orderkey AS parent FROM orders a JOIN orders b ON a.o_custkey = b.o_orderkey""")
 def alias_self_join(t: Tables) -> DataFrame:
-    a, b = t.nation.alias("a"), t.nation.alias("b")
-    return a.join(b, F.col("a.n_regionkey") == F.col("b.n_nationkey")).select(
-        F.col("a.n_nationkey").alias("child"), F.col("b.n_nationkey").alias("parent")
+    a, b = t.orders.alias("a"), t.orders.alias("b")
+    return a.join(b, F.col("a.o_custkey") == F.col("b.o_orderkey")).select(
+        F.col("a.o_orderkey").alias("child"), F.col("b.o_orderkey").alias("parent")
     )
 
 
@@ -189,15 +189,16 @@ def frame_transform(t: Tables) -> DataFrame:
 
 
 @case("q_row_to_json", """
-SELECT n_nationkey, '{"n_nationkey":' || n_nationkey || ',"n_name":"' || n_name || '"}' AS doc FROM nation""")
+SELECT c_custkey, '{"c_custkey":' || c_custkey || ',"c_name":"' || c_name || '"}' AS doc FROM customer""")
 def row_to_json(t: Tables) -> DataFrame:
-    return t.nation.select("n_nationkey", F.to_json(F.struct("n_nationkey", "n_name")).alias("doc"))
+    """What `toJSON` gives, as a column expression and so without leaving the frame."""
+    return t.customer.select("c_custkey", F.to_json(F.struct("c_custkey", "c_name")).alias("doc"))
 
 
-@case("q_temp_view", "SELECT n_regionkey, count(*) AS n FROM nation GROUP BY 1")
+@case("q_temp_view", "SELECT c_nationkey, count(*) AS n FROM customer GROUP BY 1")
 def temp_view(t: Tables) -> DataFrame:
-    t.nation.createOrReplaceTempView("millrace_nation")
-    return t.spark.table("millrace_nation").groupBy("n_regionkey").agg(F.count("*").alias("n"))
+    t.customer.createOrReplaceTempView("millrace_customer")
+    return t.spark.table("millrace_customer").groupBy("c_nationkey").agg(F.count("*").alias("n"))
 
 
 @case("q_observe_metrics", "SELECT l_returnflag, sum(l_quantity) AS qty FROM lineitem GROUP BY 1")
@@ -271,15 +272,15 @@ def bit_operators(t: Tables) -> DataFrame:
 
 
 @case("q_nested_access", """
-SELECT n_nationkey, n_name AS second, n_regionkey AS field, n_nationkey + 1 AS added, n_name AS mapped FROM nation""")
+SELECT c_custkey, c_name AS second, c_nationkey AS field, c_custkey + 1 AS added, c_name AS mapped FROM customer""")
 def nested_access(t: Tables) -> DataFrame:
-    packed = t.nation.select(
-        "n_nationkey", F.array(F.lit("x"), "n_name").alias("a"), F.create_map(F.lit("k"), "n_name").alias("m"),
-        F.struct("n_regionkey", "n_name").alias("s"),
+    packed = t.customer.select(
+        "c_custkey", F.array(F.lit("x"), "c_name").alias("a"), F.create_map(F.lit("k"), "c_name").alias("m"),
+        F.struct("c_nationkey", "c_name").alias("s"),
     )
-    grown = F.col("s").withField("next", F.col("n_nationkey") + 1).dropFields("n_name")
+    grown = F.col("s").withField("next", F.col("c_custkey") + 1).dropFields("c_name")
     return packed.withColumn("s", grown).select(
-        "n_nationkey", F.col("a").getItem(1).alias("second"), F.col("s").getField("n_regionkey").alias("field"),
+        "c_custkey", F.col("a").getItem(1).alias("second"), F.col("s").getField("c_nationkey").alias("field"),
         F.col("s.next").alias("added"), F.col("m").getItem("k").alias("mapped"),
     )
 
@@ -348,10 +349,10 @@ def greatest_least(t: Tables) -> DataFrame:
     )
 
 
-@case("q_struct_pack", "SELECT n_name, n_regionkey AS region, n_nationkey * 2 AS doubled FROM nation")
+@case("q_struct_pack", "SELECT c_name, c_nationkey AS region, c_custkey * 2 AS doubled FROM customer")
 def struct_pack(t: Tables) -> DataFrame:
-    packed = t.nation.select("n_name", F.struct(F.col("n_regionkey").alias("region"), F.expr("n_nationkey * 2").alias("doubled")).alias("s"))
-    return packed.select("n_name", "s.*")
+    packed = t.customer.select("c_name", F.struct(F.col("c_nationkey").alias("region"), F.expr("c_custkey * 2").alias("doubled")).alias("s"))
+    return packed.select("c_name", "s.*")
 
 
 @case("q_assert_true", "SELECT count(*) AS n, NULL::INTEGER AS checked FROM orders WHERE o_totalprice > 0")
