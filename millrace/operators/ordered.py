@@ -19,14 +19,14 @@ from collections.abc import Callable, Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
+from pyspark.sql.types import DateType, NumericType, StringType, TimestampNTZType, TimestampType
 
 BLOCK_ROWS = 1_000_000
 _KEY, _CHUNK, _SORT = "_key", "_chunk", "_sort"
 
 
 def as_number(df: DataFrame, column: str) -> Column:
-    """A double that orders as the column does (numbers, dates and timestamps)."""
+    """A double that never falls as the column rises; texts go by their first six bytes."""
     kind = df.schema[column].dataType
     if isinstance(kind, NumericType):
         return F.col(column).cast("double")
@@ -34,6 +34,9 @@ def as_number(df: DataFrame, column: str) -> Column:
         return F.unix_date(column).cast("double")
     if isinstance(kind, (TimestampType, TimestampNTZType)):
         return F.unix_micros(F.col(column).cast("timestamp")).cast("double")
+    if isinstance(kind, StringType):
+        head = F.rpad(F.hex(F.substring(F.encode(column, "UTF-8"), 1, 6)), 12, "0")
+        return F.conv(head, 16, 10).cast("double")
     raise TypeError(f"order column {column} is {kind.simpleString()}; give `chunk` for it")
 
 
