@@ -134,3 +134,25 @@ def attach_id(df: DataFrame, order: Sequence[str], name: str = "id", kind: str =
     if kind == "distributed":
         return df.withColumn(name, F.monotonically_increasing_id())
     return ordered.global_position(df, order, name)
+
+
+def histogram(df: DataFrame, column: str, edges: Sequence[float]) -> DataFrame:
+    """Rows per bucket `[edge, next)`, the last bucket closed on the right; other values are left out."""
+    value, last = F.col(column).cast("double"), len(edges) - 1
+    place = F.width_bucket(value, F.lit(float(edges[0])), F.lit(float(edges[-1])), F.lit(last))
+    steps = {round(b - a, 12) for a, b in zip(edges, edges[1:])}
+    if len(steps) > 1:  # uneven buckets: the number of edges at or below the value
+        place = F.size(F.filter(F.array(*[F.lit(float(e)) for e in edges]), lambda e: e <= value))
+    bucket = F.least(place, F.lit(last)).cast("int") - 1
+    inside = df.where(value.between(float(edges[0]), float(edges[-1])))
+    return inside.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n"))
+
+
+def zip_frames(a: DataFrame, b: DataFrame, order_a: Sequence[str], order_b: Sequence[str]) -> DataFrame:
+    """Rows of two frames side by side by their place in order; refuses different lengths."""
+    left = ordered.global_position(a, order_a, "_place").withColumn("_a", F.lit(True))
+    right = ordered.global_position(b, order_b, "_place").withColumn("_b", F.lit(True))
+    both = left.join(right, "_place", "full")
+    alone = F.col("_a").isNull() | F.col("_b").isNull()
+    guard = F.when(alone, F.raise_error(F.lit("frames differ in length")).cast("boolean")).otherwise(F.lit(True))
+    return both.where(guard).drop("_place", "_a", "_b")
