@@ -32,7 +32,7 @@ def points(t: Tables) -> DataFrame:
 
 
 def words(t: Tables) -> DataFrame:
-    return mf.RegexTokenizer(inputCol="text", outputCol="w", pattern=r"[ \t\n\f\r]+").transform(t.documents.select("doc_id", "lang", "text"))
+    return mf.RegexTokenizer(inputCol="text", outputCol="w", pattern=r"[ \t\n\f\r]+").transform(t.documents.select("doc_id", "lang", "source", "text"))
 
 
 @case("q_feature_bins", f"""
