@@ -14,6 +14,7 @@ For groups with a natural bound (lines of an order, turns of a talk) use a plain
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -22,46 +23,89 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, NumericType, StringType, TimestampNTZType, TimestampType
 
 BLOCK_ROWS = 1_000_000
-_KEY, _CHUNK, _SORT = "_key", "_chunk", "_sort"
-
-
-def as_number(df: DataFrame, column: str) -> Column:
-    """A double that never falls as the column rises; texts go by their first six bytes."""
-    kind = df.schema[column].dataType
-    if isinstance(kind, NumericType):
-        return F.col(column).cast("double")
-    if isinstance(kind, DateType):
-        return F.unix_date(column).cast("double")
-    if isinstance(kind, (TimestampType, TimestampNTZType)):
-        return F.unix_micros(F.col(column).cast("timestamp")).cast("double")
-    if isinstance(kind, StringType):
-        head = F.rpad(F.hex(F.substring(F.encode(column, "UTF-8"), 1, 6)), 12, "0")
-        return F.conv(head, 16, 10).cast("double")
-    raise TypeError(f"order column {column} is {kind.simpleString()}; give `chunk` for it")
-
-
-def with_chunks(df: DataFrame, column: str, pieces: int | None = None, chunk: Column | None = None) -> DataFrame:
-    """Add the chunk number, which never falls as `column` rises.
-
-    The bounds come from one pass over the single order column (approximate quantiles);
-    they are then constants, so a recomputed task puts a row in the same chunk again.
-    Rows equal on `column` share a chunk: lead with a column of many values.
+_KEY, _CHUNK, _SORT, _SUB = "_key", "_chunk", "_sort", "_sub"
+
+
+def _text_number(column: str, at: int) -> Column:
+    """Six bytes of a text from byte `at` on, as a number that orders as they do."""
+    head = F.rpad(F.hex(F.substring(F.encode(column, "UTF-8"), at, 6)), 12, "0")
+    return F.conv(head, 16, 10).cast("double")
+
+
+def sort_levels(df: DataFrame, order: Sequence[str]) -> list[Column]:
+    """Doubles that never fall along `order`, each one splitting ties of those before it.
+
+    Numbers, dates and times are one level; a text is two and ends the list, since equal
+    heads do not mean equal texts.
     """
-    if chunk is not None:
-        return df.withColumn(_CHUNK, chunk.cast("int"))
-    pieces = pieces or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    number = as_number(df, column)
-    error = 1 / (4 * pieces)
-    points = [i / pieces for i in range(1, pieces)]
-    bounds = sorted(set(df.select(number.alias(_SORT)).approxQuantile(_SORT, points, error))) if points else []
+    levels = []
+    for name in order:
+        kind = df.schema[name].dataType
+        if isinstance(kind, NumericType):
+            levels.append(F.col(name).cast("double"))
+        elif isinstance(kind, DateType):
+            levels.append(F.unix_date(name).cast("double"))
+        elif isinstance(kind, (TimestampType, TimestampNTZType)):
+            levels.append(F.unix_micros(F.col(name).cast("timestamp")).cast("double"))
+        elif isinstance(kind, StringType):
+            return [*levels, _text_number(name, 1), _text_number(name, 7)]
+        else:
+            break
+    if not levels:
+        raise TypeError(f"order column {order[0]} is {df.schema[order[0]].dataType.simpleString()}; give `chunk` for it")
+    return levels
+
+
+def _cut(df: DataFrame, number: Column, bounds: list[float], out: str) -> DataFrame:
+    """Add the place of `number` among sorted bounds; a null sorts first, so it is place zero."""
     if not bounds:
-        return df.withColumn(_CHUNK, F.lit(0))
+        return df.withColumn(out, F.lit(0).cast("bigint"))
     cut = Bucketizer(
-        splits=[float("-inf"), *bounds, float("inf")], inputCol=_SORT, outputCol=_CHUNK, handleInvalid="keep"
+        splits=[float("-inf"), *bounds, float("inf")], inputCol=_SORT, outputCol=out, handleInvalid="keep"
     )
-    # nulls sort first in Spark, so they go before every bound
     numbered = df.withColumn(_SORT, F.coalesce(number, F.lit(float("-inf"))))
-    return cut.transform(numbered).drop(_SORT).withColumn(_CHUNK, F.col(_CHUNK).cast("int"))
+    return cut.transform(numbered).drop(_SORT).withColumn(out, F.col(out).cast("bigint"))
+
+
+def with_chunks(df: DataFrame, order: Sequence[str], pieces: int | None = None, chunk: Column | None = None) -> DataFrame:
+    """Add the chunk number, which never falls along `order`.
+
+    The bounds come from one pass over the first order column (approximate quantiles) and
+    are then constants, so a recomputed task puts a row in the same chunk again. A value
+    that fills more than one piece is seen by its repeated bound; its rows are then cut
+    along the second order column as well.
+    """
+    if chunk is not None:
+        return df.withColumn(_CHUNK, chunk.cast("bigint"))
+    pieces = pieces or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    levels = sort_levels(df, order)
+    points = [i / pieces for i in range(1, pieces)]
+
+    # the bounds only even out the chunks, so a coarse error does no harm
+    error = max(1 / (4 * pieces), 1e-4)
+
+    def bounds_of(rows: DataFrame, *numbers: Column) -> list[list[float]]:
+        names = [f"{_SORT}{n}" for n in range(len(numbers))]
+        picked = rows.select(*[c.alias(n) for c, n in zip(numbers, names)])
+        return picked.approxQuantile(names, points, error) if points else [[] for _ in names]
+
+    first = levels[0]
+    raw, nulls = bounds_of(df, first, first.isNull().cast("double"))
+    out = _cut(df, first, sorted(set(raw)), _CHUNK)
+    # a whole number past 2**53 has no double of its own, so equal doubles are not equal values there
+    repeats = Counter(raw)
+    hot = sorted(v for v, n in repeats.items() if n > 1 and abs(v) < 2.0 ** 53)
+    many_nulls = nulls.count(1.0) > 1
+    if not (hot or many_nulls) or len(levels) < 2:
+        return out
+    is_hot = F.coalesce(first.isin(hot), F.lit(False)) if hot else F.lit(False)
+    crowded = is_hot | first.isNull()
+    (second,) = bounds_of(df.where(crowded), levels[1])
+    out = _cut(out, levels[1], sorted(set(second)), _SUB)
+    # inside a hot value's chunk the hot rows come first, then the greater values; nulls go before all
+    place = F.when(crowded, F.col(_SUB)).otherwise(F.lit(pieces + 1))
+    start = F.when(first.isNull(), F.lit(-1)).otherwise(F.col(_CHUNK))
+    return out.withColumn(_CHUNK, start * (pieces + 2) + place).drop(_SUB)
 
 
 def _sort_columns(order: Sequence[str], descending: bool) -> list[Column]:
@@ -111,7 +155,7 @@ def row_number() -> Running:
 
 
 def rank() -> Running:
-    """Rank with gaps. Rows equal on the order columns must be equal on the first one, which they are."""
+    """Rank with gaps: rows equal on the order columns share a chunk, so ties are never cut."""
     return Running(F.count("*"), F.sum, F.rank(), _add, framed=False)
 
 
@@ -149,7 +193,7 @@ def running(
     with the (key, chunk) summary that uses the same shuffle.
     """
     totals = totals or {}
-    chunked = with_chunks(df, order[0], pieces, chunk)
+    chunked = with_chunks(df, order, pieces, chunk)
     # a struct is equal to another when their fields are, null fields included
     keyed = chunked.withColumn(_KEY, F.struct(*keys) if keys else F.struct(F.lit(0)))
     if descending:
@@ -261,27 +305,25 @@ def fill(df, keys, order, columns: Sequence[str], *, backward: bool = False, lim
     )
 
 
-def ranked(df, keys, order: str, ties: Sequence[str] = (), **options) -> DataFrame:
+def ranked(df, keys, order: str, ties: Sequence[str], **options) -> DataFrame:
     """Add every pandas rank of `order` within the key: first, min, max, average, dense and pct.
 
-    `ties` settle the `first` method. Ranks per distinct value are an aggregate joined back;
-    a row with a null value has null ranks, and a row with a null key is left out, as in pandas.
+    The ranks are made over the distinct values with their counts, so a value that many
+    rows share is one row by then; `ties` (unique) settle the `first` rank inside a value.
+    A row with a null value has null ranks; one with a null key is left out, as in pandas.
     """
     valid = df.where(F.col(order).isNotNull())
-    numbered = running(
-        valid, keys, [order, *ties], {"rank_first": row_number()}, totals={"_rows": F.count("*")}, **options
-    )
-    least = running(valid.select(*keys, order), keys, [order],
-                    {"rank_min": rank(), "rank_dense": dense_rank([order])}, **options)
-    sizes = least.groupBy(*keys, order).agg(
-        F.min("rank_min").alias("rank_min"), F.min("rank_dense").alias("rank_dense"),
-        F.count("*").alias("_tie"),
+    values = valid.groupBy(*keys, order).agg(F.count("*").alias("_tie"))
+    placed = running(
+        values, keys, [order], {"rank_max": running_sum("_tie"), "rank_dense": row_number()},
+        totals={"_rows": F.sum("_tie")}, **options,
     )
-    out = numbered.join(sizes, [*keys, order])
-    average = F.col("rank_min") + (F.col("_tie") - 1) / 2
+    inside = running(valid, [*keys, order], list(ties), {"_nth": row_number()}, **options)
+    out = inside.join(placed, [*keys, order])
+    least = F.col("rank_max") - F.col("_tie") + 1
+    average = least + (F.col("_tie") - 1) / 2
     out = out.select(
-        *df.columns, "rank_first", "rank_min",
-        (F.col("rank_min") + F.col("_tie") - 1).alias("rank_max"),
+        *df.columns, (least + F.col("_nth") - 1).alias("rank_first"), least.alias("rank_min"), "rank_max",
         average.alias("rank_average"), "rank_dense", (average / F.col("_rows")).alias("rank_pct"),
     )
     return out.unionByName(df.where(F.col(order).isNull()), allowMissingColumns=True)

@@ -101,10 +101,41 @@ def test_global_position(rows):
 
 def test_hot_key_is_spread(rows):
     """No (key, chunk) piece of the hot key holds more than its share of the rows."""
-    cut = o.with_chunks(rows, "id", 10)
+    cut = o.with_chunks(rows, ["id"], 10)
     assert cut.groupBy("k", "_chunk").count().agg(F.max("count")).first()[0] <= 30
 
 
+def test_hot_order_value_is_spread(spark):
+    """Two thirds of the rows share one time: they are cut along the second order column."""
+    df = spark.range(600).select("id", F.when(F.col("id") % 3 == 0, F.col("id") % 50).otherwise(20).alias("t"))
+    cut = o.with_chunks(df, ["t", "id"], 12)
+    assert cut.groupBy("_chunk").count().agg(F.max("count")).first()[0] <= 80
+    w = Window.partitionBy(F.lit(1)).orderBy("t", "id")
+    got = o.running(df, [], ["t", "id"], {"rn": o.row_number(), "s": o.running_sum("id")}, pieces=12)
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    same(got, df.select("*", F.row_number().over(w).alias("rn"), F.sum("id").over(upto).alias("s")))
+
+
+def test_many_null_order_values_are_spread(spark):
+    df = spark.range(600).select("id", F.when(F.col("id") % 3 == 0, (F.col("id") % 50).cast("double")).alias("t"))
+    cut = o.with_chunks(df, ["t", "id"], 12)
+    assert cut.groupBy("_chunk").count().agg(F.max("count")).first()[0] <= 80
+    for descending in (False, True):
+        sort = [F.desc("t"), F.desc("id")] if descending else ["t", "id"]
+        w = Window.partitionBy(F.lit(1)).orderBy(*sort)
+        got = o.running(df, [], ["t", "id"], {"rn": o.row_number()}, pieces=12, descending=descending)
+        same(got, df.select("*", F.row_number().over(w).alias("rn")))
+
+
+def test_text_order(spark):
+    words = ["a", "ab", "abcdef", "abcdefg", "abcdefz", "é", "zz", None]
+    data = [(i, words[i % 8] and words[i % 8] + "x" * (i % 3)) for i in range(160)]
+    df = spark.createDataFrame(data, "id int, w string")
+    got = o.running(df, [], ["w", "id"], {"rn": o.row_number()}, pieces=9)
+    w = Window.partitionBy(F.lit(1)).orderBy("w", "id")
+    same(got, df.select("*", F.row_number().over(w).alias("rn")))
+
+
 def naive_asof(left, right, direction, exact, tolerance):
     """All pairs of a small fixture, then the nearest: brute force for comparison."""
     out = []
