@@ -181,15 +181,15 @@ _NULLS = "(SELECT c_custkey, CASE WHEN c_custkey % 7 <> 0 THEN c_nationkey END A
 def _add_sort(name: str, key, sql: str) -> None:
     @case(name, f"SELECT c_custkey, nat FROM {_NULLS} ORDER BY {sql}, c_custkey LIMIT 40")
     def build(t: Tables) -> DataFrame:
-        return _nulls(t).sort(key, "c_custkey").limit(40)
+        return _nulls(t).sort(key(), "c_custkey").limit(40)
 
 
-_add_sort("q_sort_asc", F.asc("nat"), "nat ASC NULLS FIRST")
-_add_sort("q_sort_desc", F.col("nat").desc(), "nat DESC NULLS LAST")
-_add_sort("q_sort_asc_nulls_first", F.asc_nulls_first("nat"), "nat ASC NULLS FIRST")
-_add_sort("q_sort_asc_nulls_last", F.col("nat").asc_nulls_last(), "nat ASC NULLS LAST")
-_add_sort("q_sort_desc_nulls_first", F.desc_nulls_first("nat"), "nat DESC NULLS FIRST")
-_add_sort("q_sort_desc_nulls_last", F.col("nat").desc_nulls_last(), "nat DESC NULLS LAST")
+_add_sort("q_sort_asc", lambda: F.asc("nat"), "nat ASC NULLS FIRST")
+_add_sort("q_sort_desc", lambda: F.col("nat").desc(), "nat DESC NULLS LAST")
+_add_sort("q_sort_asc_nulls_first", lambda: F.asc_nulls_first("nat"), "nat ASC NULLS FIRST")
+_add_sort("q_sort_asc_nulls_last", lambda: F.col("nat").asc_nulls_last(), "nat ASC NULLS LAST")
+_add_sort("q_sort_desc_nulls_first", lambda: F.desc_nulls_first("nat"), "nat DESC NULLS FIRST")
+_add_sort("q_sort_desc_nulls_last", lambda: F.col("nat").desc_nulls_last(), "nat DESC NULLS LAST")
 
 
 @case("q_sort_head_first", "SELECT o_orderkey FROM orders ORDER BY o_orderkey LIMIT 1")

@@ -7,19 +7,21 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
+# The columns of the binary file source.
+BINARY_SCHEMA = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
+
+
 def file_stream(
     spark: SparkSession,
     folder: str,
-    schema: StructType | str | None,
+    schema: StructType | str,
     kind: str = "parquet",
     glob: str | None = None,
     files_per_batch: int | None = None,
     **options,
 ) -> DataFrame:
-    """Files of one format as they appear in `folder`; text and binary have their own schema."""
-    reader = spark.readStream.format(kind)
-    if schema is not None:
-        reader = reader.schema(schema)
+    """Files of one format as they appear in `folder`."""
+    reader = spark.readStream.format(kind).schema(schema)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if files_per_batch:
@@ -40,7 +42,7 @@ def event_time(stream: DataFrame, column: str, delay: str) -> DataFrame:
 
 def fixed_records(spark: SparkSession, folder: str, length: int) -> DataFrame:
     """Binary files cut in records of `length` bytes; a short last record stops the query."""
-    files = file_stream(spark, folder, None, "binaryFile")
+    files = file_stream(spark, folder, BINARY_SCHEMA, "binaryFile")
     size = F.octet_length("content")
     whole = F.when(size % length == 0, F.lit(True)).otherwise(F.raise_error(F.lit("file ends inside a record")).cast("boolean"))
     starts = F.when(size > 0, F.sequence(F.lit(1), size, F.lit(length))).otherwise(F.array().cast("array<int>"))
