@@ -75,4 +75,4 @@ def label_of(code: Column, labels: Mapping) -> Column:
 
 def comma_text(number: Column, scale: int = 2) -> Column:
     """Number as text with a comma as decimal mark: the inverse of `parse_number`."""
-    return F.translate(F.format_string(f"%.{scale}f", number), ".", ",")
+    return F.translate(number.cast(f"decimal(38,{scale})").cast("string"), ".", ",")

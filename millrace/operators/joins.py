@@ -37,8 +37,8 @@ def asof_join(
     order: no pair is ever made, and a hot `by` value is cut in chunks along `on`.
     `tolerance` bounds the distance `left - right` (same type as that difference).
     A right column named as a left one gets the suffix `_right`. On a distance tie,
-    `nearest` takes the earlier row; among right rows equal on `on`, the largest by its
-    other columns is taken.
+    `nearest` takes the earlier row; among right rows equal on `on`, a hash of the row
+    decides, so the same one is taken on every run and a crowded time can be cut too.
     """
     if direction not in ("backward", "forward", "nearest"):
         raise ValueError(f"direction {direction!r}")
@@ -56,21 +56,24 @@ def asof_join(
     )
     both = lefts.unionByName(rights).withColumn("_left", F.col("_row").isNotNull())
 
+    def side(left_first: bool) -> Column:
+        first = F.col("_left") if left_first else ~F.col("_left")
+        spread = F.pmod(F.xxhash64("_row", "_match"), F.lit(1 << 32))
+        return F.when(first, spread).otherwise(spread + F.lit(1 << 33))
+
+    # right rows come before left rows of the same time when exact matches count
     found = {}
     if direction in ("backward", "nearest"):
-        # right rows come before left rows of the same time when exact matches count
-        side = F.when(F.col("_left"), 1).otherwise(0) if exact else F.when(F.col("_left"), 0).otherwise(1)
-        found["_back"] = (side, False)
+        found["_back"] = (side(left_first=not exact), False)
     if direction in ("forward", "nearest"):
-        side = F.when(F.col("_left"), 0).otherwise(1) if exact else F.when(F.col("_left"), 1).otherwise(0)
-        found["_next"] = (side, True)
+        found["_next"] = (side(left_first=exact), True)
     out = both
-    for name, (side, descending) in found.items():
-        order = ["_on", "_side", "_match"]
+    for name, (tie, descending) in found.items():
+        order = ["_on", "_tie", "_match"]
         out = running(
-            out.withColumn("_side", side), list(by), order,
+            out.withColumn("_tie", tie), list(by), order,
             {name: last_value("_match", order, descending)}, descending=descending, pieces=pieces,
-        ).drop("_side")
+        ).drop("_tie")
     out = out.where("_left")
 
     if direction == "nearest":

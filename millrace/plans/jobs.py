@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.clean import (
-    clean_identifier, clean_names, clean_postcode, label_of, parse_day, parse_int, parse_number,
+    clean_identifier, clean_names, clean_postcode, comma_text, label_of, parse_day, parse_int, parse_number,
 )
 from millrace.plans.registry import Tables, case
 from millrace.sources.landing import read_delimited
@@ -161,7 +161,7 @@ def landed_from_orders(t: Tables) -> DataFrame:
     day = F.when(F.col("o_orderkey") % 97 == 0, F.lit("bad")).when(
         F.col("o_orderkey") % 89 == 0, F.date_format("o_orderdate", "yyyy-MM-dd")
     ).otherwise(F.date_format("o_orderdate", "dd/MM/yyyy"))
-    cents = F.format_string("%.2f", F.col("o_totalprice"))
+    price = comma_text(F.col("o_totalprice"))
     digits = F.lpad(F.col("c_custkey").cast("string"), 8, "0")
     return orders.select(
         code.alias("Regiao - Sigla"),
@@ -180,10 +180,8 @@ def landed_from_orders(t: Tables) -> DataFrame:
         F.concat(F.substring(digits, 1, 5), F.lit("-"), F.substring(digits, 6, 3)).alias("Cep"),
         F.col("o_orderpriority").alias("Produto"),
         day.alias("Data da Coleta"),
-        F.when(F.col("o_orderkey") % 83 == 0, F.concat(F.lit("1."), F.translate(cents, ".", ",")))
-        .otherwise(F.translate(cents, ".", ",")).alias("Valor de Venda"),
-        F.when(F.col("o_orderkey") % 3 == 0, F.lit("")).otherwise(F.translate(cents, ".", ","))
-        .alias("Valor de Compra"),
+        F.when(F.col("o_orderkey") % 83 == 0, F.concat(F.lit("1."), price)).otherwise(price).alias("Valor de Venda"),
+        F.when(F.col("o_orderkey") % 3 == 0, F.lit("")).otherwise(price).alias("Valor de Compra"),
         F.lit("R$ / litro").alias("Unidade de Medida"),
         F.col("o_orderstatus").alias("Bandeira"),
     )
@@ -293,8 +291,6 @@ WITH cleaned AS (
 SELECT area, strftime(day, '%Y-%m') AS month, round(sum(CAST(price AS DOUBLE)), 1) AS total, count(*) AS n
 FROM cleaned GROUP BY 1, 2""")
 def flagship_region_month(t: Tables) -> DataFrame:
-    from millrace.functions.clean import comma_text
-
     areas = {0: "South", 1: "West", 2: "East", 3: "North"}
     text = (
         t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))

@@ -173,6 +173,16 @@ def test_asof_equals_brute_force(rows, direction, exact, tolerance):
     assert got == want
 
 
+def test_asof_with_a_crowded_time(spark):
+    """Half of all rows share one time: each left row still finds it, and no chunk holds them all."""
+    left = spark.range(400).select(F.col("id"), F.when(F.col("id") % 2 == 0, 50).otherwise(F.col("id")).cast("int").alias("t"))
+    right = spark.range(300).select(F.when(F.col("id") % 2 == 0, 50).otherwise(F.col("id")).cast("int").alias("t"), F.lit(1).alias("v"))
+    times = sorted({r.t for r in right.collect()})
+    got = {r.id: r.t_right for r in joins.asof_join(left, right, "t", pieces=8).collect()}
+    assert len(got) == 400
+    assert got == {r.id: max((x for x in times if x <= r.t), default=None) for r in left.collect()}
+
+
 def test_interval_join_equals_brute_force(spark):
     rng = random.Random(3)
     points = [(i, rng.choice("ab"), rng.randint(-50, 50)) for i in range(120)]
