@@ -156,3 +156,11 @@ def zip_frames(a: DataFrame, b: DataFrame, order_a: Sequence[str], order_b: Sequ
     alone = F.col("_a").isNull() | F.col("_b").isNull()
     guard = F.when(alone, F.raise_error(F.lit("frames differ in length")).cast("boolean")).otherwise(F.lit(True))
     return both.where(guard).drop("_place", "_a", "_b")
+
+
+def first_period(df: DataFrame, time: str, span: str, last: bool = False) -> DataFrame:
+    """Rows within an interval such as `3 DAYS` of the first time (or the last one)."""
+    edge = df.agg((F.max(time) if last else F.min(time)).alias("_edge"))  # one row
+    width = F.expr(f"INTERVAL {span}")
+    inside = F.col(time) > F.col("_edge") - width if last else F.col(time) < F.col("_edge") + width
+    return df.crossJoin(edge).where(inside).drop("_edge")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions import partitions as pt
 from millrace.plans.registry import Tables, case
 from millrace.sources.landing import read_delimited
 from millrace.sources.layers import LayerTable
@@ -82,3 +83,36 @@ def layer_overwrite_read(t: Tables) -> DataFrame:
     table.overwrite(orders(t).where("o_totalprice > 300000").repartition(8), balance=False)
     table.compact()
     return table.read()
+
+
+@case("q_file_partition_transforms", """
+SELECT event_id, (year(ts) - 1970)::INTEGER AS y, ((year(ts) - 1970) * 12 + month(ts) - 1)::INTEGER AS m, date_diff('day', DATE '1970-01-01', CAST(ts AS DATE))::INTEGER AS d,
+       CAST(floor(epoch(ts) / 3600) AS BIGINT) AS h, TRUE AS in_bucket FROM events""")
+def file_partition_transforms(t: Tables) -> DataFrame:
+    ts = F.col("ts")
+    return t.events.select(
+        "event_id", pt.years(ts).alias("y"), pt.months(ts).alias("m"), pt.days(ts).alias("d"), pt.hours(ts).alias("h"),
+        pt.bucket(8, F.col("user_id")).between(0, 7).alias("in_bucket"),
+    )
+
+
+@case("q_file_partitioned_by_day", "SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS n FROM events GROUP BY 1")
+def file_partitioned_by_day(t: Tables) -> DataFrame:
+    """Events filed by day number; the count reads folder names and footers only."""
+    path = scratch(t.spark, "days")
+    filed = t.events.withColumn("d", pt.days(F.col("ts")))
+    filed.hint("rebalance", "d").write.mode("overwrite").partitionBy("d").parquet(path)
+    days = t.spark.read.parquet(path).groupBy("d").agg(F.count("*").alias("n"))
+    return days.select(F.date_from_unix_date("d").cast("string").alias("day"), "n")
+
+
+@case("q_file_libsvm", "SELECT label, count(*) AS n FROM embeddings GROUP BY 1")
+def file_libsvm(t: Tables) -> DataFrame:
+    """Labelled vectors in the sparse text form, written and read back."""
+    from pyspark.ml.functions import array_to_vector
+
+    path = scratch(t.spark, "libsvm")
+    x = array_to_vector(F.col("embedding").cast("array<double>")).alias("features")
+    t.embeddings.select(F.col("label").cast("double").alias("label"), x).write.mode("overwrite").format("libsvm").save(path)
+    back = t.spark.read.format("libsvm").option("numFeatures", "64").load(path)
+    return back.groupBy(F.col("label").cast("int").alias("label")).agg(F.count("*").alias("n"))

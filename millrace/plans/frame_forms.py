@@ -9,6 +9,7 @@ from millrace.functions import numbers as num
 from millrace.operators import frames, keys, reshape
 from millrace.operators import ordered as o
 from millrace.operators.joins import asof_join, update
+from millrace.operators.sessions import sessionize
 from millrace.plans.registry import Tables, case
 
 _ROW = "l_orderkey, l_partkey, l_linenumber, l_suppkey"
@@ -408,6 +409,33 @@ def frame_update_overwrite_off(t: Tables) -> DataFrame:
     return update(a, b, ["c_custkey"], keep_left=True)
 
 
+@case("q_frame_first_last_period", """
+SELECT event_id, ts < (SELECT min(ts) FROM events) + INTERVAL 3 DAY AS early FROM events
+WHERE ts < (SELECT min(ts) FROM events) + INTERVAL 3 DAY OR ts > (SELECT max(ts) FROM events) - INTERVAL 2 DAY""")
+def frame_first_last_period(t: Tables) -> DataFrame:
+    early = frames.first_period(t.events, "ts", "3 DAYS").select("event_id", F.lit(True).alias("early"))
+    return early.unionByName(frames.first_period(t.events, "ts", "2 DAYS", last=True).select("event_id", F.lit(False).alias("early")))
+
+
+@case("q_frame_argsort", "SELECT s_suppkey, row_number() OVER (ORDER BY s_acctbal, s_suppkey) - 1 AS place FROM supplier")
+def frame_argsort(t: Tables) -> DataFrame:
+    return o.global_position(t.supplier.select("s_suppkey", "s_acctbal"), ["s_acctbal", "s_suppkey"], "place").drop("s_acctbal")
+
+
+@case("q_frame_rename_prefix", "SELECT doc_id AS x_doc_id, quality AS x_quality, toxic AS x_toxic FROM labels")
+def frame_rename_prefix(t: Tables) -> DataFrame:
+    return t.labels.withColumnsRenamed({c: f"x_{c}" for c in t.labels.columns})
+
+
+@case("q_frame_sessions", """
+WITH gaps AS (SELECT *, CASE WHEN ts - lag(ts) OVER w < INTERVAL 4 HOUR THEN 0 ELSE 1 END AS fresh FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+numbered AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS session FROM gaps)
+SELECT user_id, CAST(session AS BIGINT) AS session, count(*) AS n, min(ts) AS start_, max(ts) AS end_ FROM numbered GROUP BY 1, 2""")
+def frame_sessions(t: Tables) -> DataFrame:
+    rows = sessionize(t.events.select("user_id", "ts", "event_id"), ["user_id"], "ts", ["event_id"], F.expr("INTERVAL '4' HOUR"))
+    return rows.groupBy("user_id", "session").agg(F.count("*").alias("n"), F.min("ts").alias("start_"), F.max("ts").alias("end_"))
+
+
 # -- groups ----------------------------------------------------------------------------------
 
 @case("q_grouped_head_tail", """
@@ -488,6 +516,21 @@ def keys_swap_levels(t: Tables) -> DataFrame:
     return keys.swap_levels(t.orders.select("o_orderkey", "o_custkey"), "o_orderkey", "o_custkey").toDF("o_orderkey", "o_custkey")
 
 
+@case("q_keys_levels", "SELECT count(DISTINCT o_custkey) AS customers, count(DISTINCT o_orderpriority) AS priorities FROM orders")
+def keys_levels(t: Tables) -> DataFrame:
+    """Sizes of the levels of a composite key."""
+    return t.orders.agg(F.count_distinct("o_custkey").alias("customers"), F.count_distinct("o_orderpriority").alias("priorities"))
+
+
+@case("q_keys_edit", """
+SELECT o_orderkey AS k, o_orderstatus AS status FROM orders WHERE o_orderstatus <> 'P' UNION ALL SELECT o_orderkey, 'X' FROM orders WHERE o_totalprice > 490000""")
+def keys_edit(t: Tables) -> DataFrame:
+    """Keys dropped by label and others inserted."""
+    base = t.orders.select(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("status"))
+    added = t.orders.where("o_totalprice > 490000").select(F.col("o_orderkey").alias("k"), F.lit("X").alias("status"))
+    return base.where(F.col("status") != "P").unionByName(added)
+
+
 @case("q_keys_factorize", """
 SELECT p_partkey, dense_rank() OVER (ORDER BY p_name) - 1 AS code FROM part""")
 def keys_factorize(t: Tables) -> DataFrame:

@@ -102,9 +102,9 @@ def agg_basic(t: Tables) -> DataFrame:
 
 
 @case("q_agg_product", """
-SELECT l_orderkey, product(l_quantity) AS prod FROM lineitem GROUP BY 1""")
+SELECT l_orderkey, product(l_linenumber) AS prod FROM lineitem GROUP BY 1""")
 def agg_product(t: Tables) -> DataFrame:
-    return t.lineitem.groupBy("l_orderkey").agg(F.product("l_quantity").alias("prod"))
+    return t.lineitem.groupBy("l_orderkey").agg(F.product("l_linenumber").alias("prod"))
 
 
 @case("q_agg_distinct", """

@@ -42,7 +42,7 @@ def stream_bronze(t: Tables) -> DataFrame:
     """Landed files as a stream, through the same cleaning as the batch job."""
     landing = scratch(t.spark, "landing")
     landed_from_orders(t).write.mode("overwrite").csv(landing, header=True, sep=";")
-    landed = file_stream(t.spark, landing, LANDING_SCHEMA, "csv", header=True, sep=";")
+    landed = file_stream(t.spark, landing, LANDING_SCHEMA, "csv", header=True, sep=";", enforceSchema=False)
     return _appended(t, bronze_rows(landed)).select(
         "estado_sigla", "cnpj_da_revenda", "produto", F.col("data_da_coleta").cast("string").alias("data_da_coleta"),
         F.round(F.col("valor_de_venda").cast("double"), 3).alias("valor_de_venda"),

@@ -18,9 +18,6 @@ LANDING_COLUMNS = [
 ]
 LANDING_SCHEMA = StructType([StructField(name, StringType()) for name in LANDING_COLUMNS])
 
-BOM = "﻿"
-
-
 def is_missing_path(error: AnalysisException) -> bool:
     return error.getCondition() == "PATH_NOT_FOUND"
 
@@ -111,27 +108,6 @@ def land_archives(spark: SparkSession, folder: str, landing: str, suffix: str =
     return found.select("file_name", "content").mapInPandas(write, "file_name string")
 
 
-def header_mismatches(spark: SparkSession, path: str, columns: list[str], sep: str = ";") -> DataFrame:
-    """Files whose first line is not the expected header: path and that line.
-
-    The text source gives whole lines; the first line of a file is the one at block
-    offset zero, so one row per file leaves the scan.
-    """
-    wanted = sep.join(columns)
-    lines = (
-        spark.read.option("wholetext", "false").text(path)
-        .select(
-            F.col("_metadata.file_path").alias("path"),
-            F.col("_metadata.file_block_start").alias("start"),
-            F.monotonically_increasing_id().alias("seq"),
-            F.regexp_replace("value", f"^{BOM}|\r$", "").alias("line"),
-        )
-        .where(F.col("start") == 0)
-    )
-    first = lines.groupBy("path").agg(F.min_by("line", "seq").alias("header"))
-    return first.where(F.translate("header", '"', "") != wanted)
-
-
 def read_delimited(
     spark: SparkSession,
     path: str,
@@ -141,15 +117,14 @@ def read_delimited(
 ) -> DataFrame | None:
     """Delimited files with a header and a fixed schema; None when no file is there.
 
-    Short rows give nulls and extra cells are dropped. With `check_header`, a file
-    whose header differs from the schema is refused, as its cells would move columns.
+    Short rows give nulls and extra cells are dropped. With `check_header`, the scan of a
+    file whose header differs from the schema fails with the file's name, as its cells
+    would move columns; the check rides on the same scan and reads no file twice.
     """
     try:
-        if check_header:
-            wrong = header_mismatches(spark, path, schema.names, sep).take(1)
-            if wrong:
-                raise ValueError(f"header of {wrong[0].path} is {wrong[0].header!r}")
-        return spark.read.csv(path, schema=schema, sep=sep, header=True, mode="PERMISSIVE")
+        return spark.read.csv(
+            path, schema=schema, sep=sep, header=True, mode="PERMISSIVE", enforceSchema=not check_header
+        )
     except AnalysisException as error:
         if is_missing_path(error):
             return None

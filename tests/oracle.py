@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import math
+import os
 
 import duckdb
 
 from millrace.plans.registry import TABLES
 
+# with EXACT=1 doubles must agree to the last bit
+EXACT = os.environ.get("EXACT") == "1"
+
 SPARK_TO_DUCK = {
     "bigint": "BIGINT", "int": "INTEGER", "smallint": "SMALLINT", "tinyint": "TINYINT",
     "double": "DOUBLE", "float": "FLOAT", "string": "VARCHAR", "boolean": "BOOLEAN",
@@ -29,7 +33,7 @@ def _key(value):
     if isinstance(value, float):
         if math.isnan(value):
             return "nan"
-        return f"{value + 0.0:.10g}"
+        return repr(value + 0.0) if EXACT else f"{value + 0.0:.10g}"
     return f"{type(value).__name__}:{value}"
 
 

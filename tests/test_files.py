@@ -162,3 +162,23 @@ def test_observed_metrics(spark, df):
     seen = Observation("m")
     df.observe(seen, F.count("*").alias("n"), F.max("v").alias("top")).write.format("noop").mode("overwrite").save()
     assert seen.get == {"n": 3, "top": 2.5}
+
+
+def test_partitioned_table_edits(spark, df, tmp_path, table_name):
+    from millrace.sources import tables
+
+    tables.create(df, table_name, f"{tmp_path}/t", ["k"])
+    with pytest.raises(AnalysisException):
+        tables.create(df, table_name, f"{tmp_path}/t", ["k"])
+    tables.append(spark.createDataFrame([(4.0, "b", 4)], "v double, k string, id int"), table_name)
+    assert spark.table(table_name).count() == 4
+    tables.overwrite_partitions(spark.createDataFrame([(9, "a", 9.0)], "id int, k string, v double"), table_name)
+    assert sorted(r.id for r in spark.table(table_name).collect()) == [2, 4, 9]
+    tables.overwrite_where(spark.createDataFrame([(5, "c", 5.0)], "id int, k string, v double"), table_name, F.col("v") >= 4)
+    assert sorted((r.id, r.k) for r in spark.table(table_name).collect()) == [(2, "b"), (5, "c")]
+    tables.overwrite_where(spark.createDataFrame([], "id int, k string, v double"), table_name, F.col("k") == "c")
+    assert [r.id for r in spark.table(table_name).collect()] == [2]
+    tables.replace(df.select("k", "id"), table_name, f"{tmp_path}/t")
+    assert set(spark.table(table_name).columns) == {"k", "id"}
+    with pytest.raises(ValueError, match="no table"):
+        tables.replace(df, "files_none", f"{tmp_path}/n")

@@ -202,3 +202,14 @@ def test_update_and_combine_first(spark):
     b = spark.createDataFrame([(1, 99, 7), (3, 1, 1)], "k int, x int, y int")
     assert sorted(map(tuple, joins.update(a, b, ["k"]).collect())) == [(1, 99, 7), (2, None, 5)]
     assert sorted(map(tuple, joins.combine_first(a, b, ["k"]).collect())) == [(1, 10, 7), (2, None, 5), (3, 1, 1)]
+
+
+def test_sessions_equal_plain_window(rows):
+    from millrace.operators.sessions import sessionize
+
+    got = sessionize(rows, ["k"], "t", ["id"], F.lit(3), block_rows=7)
+    w = Window.partitionBy("k").orderBy("t", "id")
+    fresh = F.when(F.col("t") - F.lag("t").over(w) < 3, 0).otherwise(1)
+    flagged = rows.withColumn("fresh", fresh)
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    same(got, flagged.select("id", "k", "t", "v", F.sum("fresh").over(upto).alias("session")))

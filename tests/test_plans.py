@@ -33,7 +33,7 @@ def test_hot_queries_stay_in_the_jvm(spark, name):
 def test_no_pair_products(spark):
     """The only products are with a frame of one row or a short code list."""
     allowed = {
-        "q_cross_join_total", "q_stat_freq_items", "q_frame_equals", "q_frame_monotonic", "q_keys_unique", "q_frame_value_counts", "q_sql_lateral",
+        "q_cross_join_total", "q_stat_freq_items", "q_frame_equals", "q_frame_monotonic", "q_keys_unique", "q_frame_value_counts", "q_sql_lateral", "q_frame_first_last_period", "q_frame_mad",
     }
     names = [n for n in CASES if not n.startswith(("q_model", "q_cluster", "q_tune", "q_stream", "q_file", "q_layer", "q_feature", "q_evaluate", "q_pattern"))]
     found = set()
@@ -65,3 +65,17 @@ def test_large_sides_are_not_broadcast_by_hint(tables):
 
     assert "broadcast" in broadcast_if_small(tables.region, 10)._jdf.queryExecution().logical().toString().lower()
     assert "ResolvedHint" not in broadcast_if_small(tables.lineitem, 10)._jdf.queryExecution().analyzed().toString()
+
+
+@pytest.mark.parametrize(("hint", "node"), [
+    ("broadcast", "BroadcastHashJoin"), ("merge", "SortMergeJoin"), ("shuffle_hash", "ShuffledHashJoin"),
+])
+def test_join_hints(tables, hint, node):
+    lines = tables.lineitem.select("l_orderkey", "l_quantity").hint(hint)
+    assert node in plan(tables.orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey")))
+
+
+def test_layout_hints(spark, tables):
+    assert tables.orders.hint("repartition", 5).rdd.getNumPartitions() == 5
+    assert "REBALANCE" in plan(tables.orders.hint("rebalance", "o_custkey"))
+    assert tables.orders.repartition(6).hint("coalesce", 2).rdd.getNumPartitions() == 2
