@@ -306,7 +306,7 @@ def fill(df, keys, order, columns: Sequence[str], *, backward: bool = False, lim
 
 
 def ranked(df, keys, order: str, ties: Sequence[str], **options) -> DataFrame:
-    """Add every pandas rank of `order` within the key: first, min, max, average, dense and pct.
+    """Add every pandas rank of `order` within the key: first, min, max, average, dense and pct, and the key's size.
 
     The ranks are made over the distinct values with their counts, so a value that many
     rows share is one row by then; `ties` (unique) settle the `first` rank inside a value.
@@ -325,6 +325,7 @@ def ranked(df, keys, order: str, ties: Sequence[str], **options) -> DataFrame:
     out = out.select(
         *df.columns, (least + F.col("_nth") - 1).alias("rank_first"), least.alias("rank_min"), "rank_max",
         average.alias("rank_average"), "rank_dense", (average / F.col("_rows")).alias("rank_pct"),
+        F.col("_rows").alias("rank_size"),
     )
     return out.unionByName(df.where(F.col(order).isNull()), allowMissingColumns=True)
 

@@ -104,27 +104,23 @@ def running_by_type(t: Tables) -> DataFrame:
 @case("q_rank_whole_table", """
 SELECT o_orderkey, rank() OVER (ORDER BY o_totalprice) AS rk, dense_rank() OVER (ORDER BY o_totalprice) AS drk FROM orders""")
 def rank_whole_table(t: Tables) -> DataFrame:
-    df = t.orders.select("o_orderkey", "o_totalprice")
-    return o.running(df, [], ["o_totalprice"], {"rk": o.rank(), "drk": o.dense_rank(["o_totalprice"])}).drop("o_totalprice")
+    out = o.ranked(t.orders.select("o_orderkey", "o_totalprice"), [], "o_totalprice", ["o_orderkey"])
+    return out.select("o_orderkey", F.col("rank_min").alias("rk"), F.col("rank_dense").alias("drk"))
 
 
 @case("q_relative_rank_by_status", """
 SELECT o_orderkey, round(percent_rank() OVER w, 6) AS prk, ntile(10) OVER (PARTITION BY o_orderstatus ORDER BY o_totalprice, o_orderkey) AS tile
 FROM orders WINDOW w AS (PARTITION BY o_orderstatus ORDER BY o_totalprice)""")
 def relative_rank_by_status(t: Tables) -> DataFrame:
-    """Ranks over the whole group from the group's row count, which the chunk summary gives."""
+    """Ranks over the whole group from the group's row count."""
     df = t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice")
-    rows = F.count("*")
-    at = o.running(df, ["o_orderstatus"], ["o_totalprice"], {"rk": o.rank()}, totals={"n": rows})
-    pos = o.running(at, ["o_orderstatus"], ["o_totalprice", "o_orderkey"], {"rn": o.row_number()})
-    small, extra = F.floor(F.col("n") / 10), F.col("n") % 10
+    pos = o.ranked(df, ["o_orderstatus"], "o_totalprice", ["o_orderkey"])
+    n, at = F.col("rank_size"), F.col("rank_first")
+    small, extra = F.floor(n / 10), n % 10
     edge = extra * (small + 1)
-    tile = F.when(F.col("rn") <= edge, F.ceil(F.col("rn") / (small + 1))).otherwise(
-        extra + F.ceil((F.col("rn") - edge) / F.greatest(small, F.lit(1)))
-    )
+    tile = F.when(at <= edge, F.ceil(at / (small + 1))).otherwise(extra + F.ceil((at - edge) / F.greatest(small, F.lit(1))))
     return pos.select(
-        "o_orderkey", F.round((F.col("rk") - 1) / F.greatest(F.col("n") - 1, F.lit(1)), 6).alias("prk"),
-        tile.cast("bigint").alias("tile"),
+        "o_orderkey", F.round((F.col("rank_min") - 1) / F.greatest(n - 1, F.lit(1)), 6).alias("prk"), tile.cast("bigint").alias("tile")
     )
 
 
