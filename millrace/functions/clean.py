@@ -1,5 +1,6 @@
 """Cleaning rules for text cells: every rule gives null for a bad cell and never an error.
 
+Marks are dropped with `translate`, which costs a fraction of a pattern match.
 The rules do not lean on the session's ANSI flag, so they give the same rows in
 any caller's session. Each is idempotent: cleaning a clean value changes nothing.
 """
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 # The number shapes an integer cell may have.
 NUMBER_PATTERN = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)\s*$"
 # Marks dropped from an identifier, and the day format of landed files.
-IDENTIFIER_MARKS = r"[.\-/]"
+IDENTIFIER_MARKS = ".-/"
 DAY_FORMAT = "dd/MM/yyyy"
 
 
@@ -39,11 +40,11 @@ def parse_day(text: Column, pattern: str = DAY_FORMAT) -> Column:
 
 def clean_identifier(text: Column) -> Column:
     """Identifier without dots, dashes and slashes, trimmed."""
-    return F.trim(F.regexp_replace(text, IDENTIFIER_MARKS, ""))
+    return F.trim(F.translate(text, IDENTIFIER_MARKS, ""))
 
 
 def clean_postcode(text: Column) -> Column:
-    return F.regexp_replace(text, "-", "")
+    return F.translate(text, "-", "")
 
 
 def parse_number(text: Column, thousands: str | None = None, kind: str = "float") -> Column:
@@ -54,12 +55,12 @@ def parse_number(text: Column, thousands: str | None = None, kind: str = "float"
     """
     if thousands:
         text = F.replace(text, F.lit(thousands), F.lit(""))
-    return F.regexp_replace(text, ",", ".").try_cast(kind)
+    return F.translate(text, ",", ".").try_cast(kind)
 
 
 def parse_int(text: Column) -> Column:
     """Whole part of a number cell after dropping commas; null for other text or out of range."""
-    digits = F.regexp_replace(text, ",", "")
+    digits = F.translate(text, ",", "")
     return F.when(digits.rlike(NUMBER_PATTERN), digits.try_cast("double").try_cast("int"))
 
 
