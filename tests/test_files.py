@@ -156,10 +156,12 @@ def test_foreach_on_executors(df, tmp_path):
     assert {"row1", "row2", "row3"} <= set(os.listdir(target))
 
 
-def test_observed_metrics(spark, df):
+def test_observed_metrics(spark):
+    """In a session of its own: the object stays there and keeps fitted classifiers from tasks."""
     from pyspark.sql import Observation
 
     seen = Observation("m")
+    df = spark.newSession().createDataFrame([(1, 1.5), (2, None), (3, 2.5)], "id int, v double")
     df.observe(seen, F.count("*").alias("n"), F.max("v").alias("top")).write.format("noop").mode("overwrite").save()
     assert seen.get == {"n": 3, "top": 2.5}
 
