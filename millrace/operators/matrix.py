@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+TWO_PI = 2 * math.pi
+
 
 def transpose(a: DataFrame) -> DataFrame:
     return a.select(F.col("j").alias("i"), F.col("i").alias("j"), "v")
@@ -62,7 +65,7 @@ def column_similarities(gram: DataFrame) -> DataFrame:
 
 def kernel_density(df: DataFrame, column: str, points: list[float], bandwidth: float) -> DataFrame:
     """Mean Gaussian kernel at each given point: one aggregate per point in a single pass."""
-    norm = 1 / (bandwidth * (2 * 3.141592653589793) ** 0.5)
+    norm = 1 / (bandwidth * TWO_PI ** 0.5)
     sums = [
         F.avg(F.exp(-0.5 * F.pow((F.col(column) - p) / bandwidth, 2))).alias(str(n)) for n, p in enumerate(points)
     ]

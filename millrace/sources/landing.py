@@ -72,40 +72,46 @@ def expand_archives(archives: DataFrame, suffix: str = ".csv", max_member_bytes:
 def land_archives(spark: SparkSession, folder: str, landing: str, suffix: str = ".csv") -> DataFrame:
     """Write every fitting member of the archives in `folder` to `landing`, from the executors.
 
-    A member already landed (by name) is skipped. Each file is written under a hidden
-    name and then renamed, so a retried task leaves no half file. Gives the landed names.
+    A member is copied as a stream by the task that holds its archive, so its bytes never
+    go through a shuffle. One whose name is landed already is skipped. A file is written
+    under a hidden name and then renamed, so a retried task leaves no half file. Gives
+    the landed names once the frame is run.
     """
     archives = (
         spark.read.format("binaryFile").option("pathGlobFilter", "*.zip")
         .option("recursiveFileLookup", "true").load(folder)
     )
-    found = expand_archives(archives, suffix)
-    try:
-        known = landed_files(spark, landing).select("file_name")
-        found = found.join(known, "file_name", "left_anti")
-    except AnalysisException as error:
-        if not is_missing_path(error):
-            raise
 
-    def write(batches: Iterator) -> Iterator:
+    def land(batches: Iterator) -> Iterator:
+        import io
+        import shutil
+        import uuid
+        import zipfile
+
         import pandas as pd
         from pyarrow import fs
 
         store, base = fs.FileSystem.from_uri(landing if "://" in landing else f"file://{landing}")
+        store.create_dir(base, recursive=True)
         for batch in batches:
             names = []
-            for name, content in zip(batch["file_name"], batch["content"]):
-                import uuid
-
-                store.create_dir(base, recursive=True)
-                part = f"{base}/_{name}.{uuid.uuid4().hex}"
-                with store.open_output_stream(part) as out:
-                    out.write(content)
-                store.move(part, f"{base}/{name}")
-                names.append(name)
-            yield pd.DataFrame({"file_name": names})
-
-    return found.select("file_name", "content").mapInPandas(write, "file_name string")
+            for content in batch["content"]:
+                with zipfile.ZipFile(io.BytesIO(content)) as archive:
+                    for info in archive.infolist():
+                        name = info.filename.rsplit("/", 1)[-1]
+                        target = f"{base}/{name}"
+                        if info.is_dir() or not name.lower().endswith(suffix):
+                            continue
+                        if store.get_file_info(target).type != fs.FileType.NotFound:
+                            continue
+                        part = f"{base}/_{name}.{uuid.uuid4().hex}"
+                        with archive.open(info) as member, store.open_output_stream(part) as out:
+                            shutil.copyfileobj(member, out, 1 << 20)
+                        store.move(part, target)
+                        names.append(name)
+            yield pd.DataFrame({"file_name": pd.Series(names, dtype="object")})
+
+    return archives.select("content").mapInPandas(land, "file_name string")
 
 
 def read_delimited(
