@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.session import set_checkpoint_dir
+from millrace.sources.scratch import scratch
+
 
 def create(df: DataFrame, table: str, path: str, partition_by: Sequence[str] = ()) -> None:
     """A new table at `path`; fails when the name is taken."""
@@ -50,6 +53,8 @@ def overwrite_where(df: DataFrame, table: str, condition: Column) -> None:
     table cannot be overwritten while it is read; a partition left empty is dropped.
     """
     spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        set_checkpoint_dir(spark, scratch(spark, "checkpoint"))
     parts = _partition_columns(spark, table)
     if not parts:
         raise ValueError(f"{table} has no partitions")
