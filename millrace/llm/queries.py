@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.llm import exact_dedup, mixing
+from millrace.llm import exact_dedup, mixing, pii
 from millrace.llm.registry import query, table
 
 
@@ -37,3 +37,8 @@ def op1(spark, folder):
     FROM (SELECT *, epochs + CASE WHEN upto <= rest OR (upto - size < rest AND rest - (upto - size) >= upto - rest) THEN 1 ELSE 0 END AS n FROM f)""")
 def op10(spark, folder):
     return mixing.mixture(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op2_pii", pii.sql())
+def op2(spark, folder):
+    return pii.digest(table(spark, folder, "documents"))
