@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.llm import exact_dedup, mixing, pii
+from millrace.llm import exact_dedup, id_files, mixing, packing, pii
 from millrace.llm.registry import query, table
 
 
@@ -42,3 +42,13 @@ def op10(spark, folder):
 @query("op2_pii", pii.sql())
 def op2(spark, folder):
     return pii.digest(table(spark, folder, "documents"))
+
+
+@query("op5_pack")
+def op5(spark, folder):
+    return packing.pack(table(spark, folder, "documents"))
+
+
+@query("op6_id_files")
+def op6(spark, folder):
+    return id_files.write_and_read(table(spark, folder, "documents"))
