@@ -9,7 +9,8 @@ differs is grouped by the text itself.
 
 Hot groups: fingerprints are counted with a partial aggregate; members meet their group's
 row through `SALTS` copies of it, so a group of a third of all rows is dealt over that many
-keys. Only texts that share a fingerprint are moved.
+keys. Only texts that share a fingerprint are compared; the chunks of the row that would
+stay are repeated once for every `SALT_ROWS` members.
 
 Nulls and ties: a null text counts as the empty text. A null doc_id sorts below all others.
 Rows that repeat a doc_id and text count as rows of the group, and the first of them stays.
@@ -32,6 +33,7 @@ from millrace.llm.frames import slices, whole, written
 CHUNK_BYTES = 1 << 16   # the sum below stays under 2**63 for chunks up to this size
 HUGE_BYTES = 8 << 20    # texts over this many bytes are hashed by several tasks
 SALTS = 64
+SALT_ROWS = 256
 PRIME = 2**31 - 1
 BASES = (1_103_515_245, 1_664_525_937)
 _FINGERPRINT = ["n_bytes", "h1", "h2"]
@@ -147,12 +149,12 @@ def fingerprints(docs: DataFrame, huge_bytes: int = HUGE_BYTES, poly_args: tuple
     return small.unionByName(combine_chunks(chunks, keys, poly_args))
 
 
-def _salt(column: str) -> Column:
-    return F.pmod(F.xxhash64(column), F.lit(SALTS))
+def _salt(column: str, n: Column) -> Column:
+    return F.pmod(F.xxhash64(column), n)
 
 
-def _salts() -> Column:
-    return F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint")))
+def _salts(n: Column) -> Column:
+    return F.explode(F.sequence(F.lit(0).cast("bigint"), n.cast("bigint") - 1))
 
 
 def exact_groups(docs: DataFrame, huge_bytes: int = HUGE_BYTES, poly_args: tuple = ()) -> DataFrame:
@@ -161,10 +163,10 @@ def exact_groups(docs: DataFrame, huge_bytes: int = HUGE_BYTES, poly_args: tuple
     row = F.struct("doc_id", "text_sha256")
     groups = (prints.groupBy(*_FINGERPRINT)
               .agg(F.sum("n_rows").alias("group_size"), F.max(row).alias("keep"), F.count("*").alias("n_different"))
-              .where("n_different > 1").withColumn("salt", _salts()))
+              .where("n_different > 1").withColumn("salt", _salts(F.lit(SALTS))))
     members = written(
-        prints.withColumn("salt", _salt("doc_id")).join(groups, [*_FINGERPRINT, "salt"], "left")
-        .select(*_FINGERPRINT, "doc_id", "text_sha256", "n_rows", "salt",
+        prints.withColumn("salt", _salt("doc_id", F.lit(SALTS))).join(groups, [*_FINGERPRINT, "salt"], "left")
+        .select(*_FINGERPRINT, "doc_id", "text_sha256", "n_rows", F.ceil(F.col("n_different") / SALT_ROWS).alias("salts"),
                 F.coalesce("group_size", "n_rows").alias("group_size"), F.coalesce("keep", row).alias("keep"),
                 F.col("keep").isNotNull().alias("shared")), "members")
     differing = written(_differing(docs, members), "differing")
@@ -177,14 +179,14 @@ def exact_groups(docs: DataFrame, huge_bytes: int = HUGE_BYTES, poly_args: tuple
 
 def _differing(docs: DataFrame, members: DataFrame) -> DataFrame:
     """Members whose chunks are not those of the row that would stay."""
-    shared = members.where("shared").select(*_FINGERPRINT, "doc_id", "text_sha256", "salt", "keep")
+    shared = members.where("shared").select(*_FINGERPRINT, "doc_id", "text_sha256", "salts", "keep")
     d, m = _base(docs).alias("d"), shared.alias("m")
     texts = (d.join(m, F.col("d.doc_id").eqNullSafe(F.col("m.doc_id")))
              .where(F.sha2(F.col("d.text"), 256) == F.col("m.text_sha256")).select("m.*", "d.text"))
     stays = F.col("doc_id").eqNullSafe(F.col("keep.doc_id")) & (F.col("text_sha256") == F.col("keep.text_sha256"))
-    chunks = cut(texts.withColumn("stays", stays).drop("keep"))
+    chunks = cut(texts.withColumn("stays", stays).withColumn("salt", _salt("doc_id", F.col("salts"))).drop("keep"))
     first = (chunks.where("stays").dropDuplicates([*_FINGERPRINT, "part"])
-             .select(*_FINGERPRINT, "part", F.col("chunk").alias("kept_chunk"), _salts().alias("salt")))
+             .select(*_FINGERPRINT, "part", F.col("chunk").alias("kept_chunk"), _salts(F.col("salts")).alias("salt")))
     return (chunks.where("NOT stays").join(first, [*_FINGERPRINT, "part", "salt"])
             .groupBy("doc_id", "text_sha256").agg(F.bool_and(F.col("chunk") == F.col("kept_chunk")).alias("same"))
             .where("NOT same").select("doc_id", "text_sha256"))
@@ -199,8 +201,9 @@ def _regrouped(docs: DataFrame, members: DataFrame, differing: DataFrame) -> Dat
     texts = (_base(docs).alias("d").join(again, null_safe).where(F.sha2(F.col("d.text"), 256) == F.col("m.text_sha256"))
              .select("m.*", "d.text").dropDuplicates(keys))
     by_text = (texts.groupBy("text").agg(F.sum("n_rows").alias("group_size"), F.max(F.struct(*keys)).alias("keep"))
-               .withColumn("salt", _salts()))
-    anew = (texts.drop("group_size", "keep").join(by_text, ["text", "salt"]).select(*members.columns))
+               .withColumn("salt", _salts(F.lit(SALTS))))
+    dealt = texts.drop("group_size", "keep").withColumn("salt", _salt("doc_id", F.lit(SALTS)))
+    anew = dealt.join(by_text, ["text", "salt"]).select(*members.columns)
     return members.join(bad, _FINGERPRINT, "left_anti").unionByName(anew)
 
 
