@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.llm import exact_dedup, id_files, mixing, packing, pii
+from millrace.llm import exact_dedup, id_files, mixing, packing, perspectives, pii, toxicity
 from millrace.llm.registry import query, table
 
 
@@ -52,3 +52,13 @@ def op5(spark, folder):
 @query("op6_id_files")
 def op6(spark, folder):
     return id_files.write_and_read(table(spark, folder, "documents"))
+
+
+@query("op4_perspectives", perspectives.SQL)
+def op4(spark, folder):
+    return perspectives.perspectives(table(spark, folder, "conversations"))
+
+
+@query("op9_toxicity")
+def op9(spark, folder):
+    return toxicity.severity(table(spark, folder, "documents"), table(spark, folder, "labels"))
