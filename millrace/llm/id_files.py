@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.frames import slices
-from millrace.llm.tokens import SLICE_BYTES, Encoder, default_tokenizer
+from millrace.llm.tokens import SLICE_BYTES, default_tokenizer, encoder
 from millrace.sources.scratch import scratch
 
 BLOCK_IDS = 1 << 20
@@ -109,20 +109,20 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, by_word: boo
                .sortWithinPartitions(F.asc_nulls_first("doc_id"), "tie", "text").drop("tie"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, shard = Encoder(tokenizer, by_word), TaskContext.get().partitionId()
+        own, shard = encoder(tokenizer, by_word), TaskContext.get().partitionId()
         block, first, held, doc_ids, ids = 0, 0, 0, [], []
         for batch in slices(batches, "text", SLICE_BYTES):
-            flat, at = encoder.encode(batch["text"])
-            flat = flat.astype(f"<u{encoder.width}")
+            flat, at = own.encode(batch["text"])
+            flat = flat.astype(f"<u{own.width}")
             for doc_id, a, b in zip(batch["doc_id"].to_pylist(), at[:-1].tolist(), at[1:].tolist()):
                 doc_ids.append(doc_id)
                 ids.append(flat[a:b])
                 held += b - a
                 if held >= block_ids:
-                    yield _block(shard, block, first, doc_ids, ids, encoder.width)
+                    yield _block(shard, block, first, doc_ids, ids, own.width)
                     block, first, held, doc_ids, ids = block + 1, first + held, 0, [], []
         if ids:
-            yield _block(shard, block, first, doc_ids, ids, encoder.width)
+            yield _block(shard, block, first, doc_ids, ids, own.width)
 
     ordered.mapInArrow(run, BLOCKS).write.option("compression", "zstd").option("parquet.block.size", 32 << 20).parquet(path)
     return path

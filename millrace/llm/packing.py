@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.frames import owners, slices, written
-from millrace.llm.tokens import SLICE_BYTES, Encoder, default_tokenizer
+from millrace.llm.tokens import SLICE_BYTES, default_tokenizer, encoder
 
 PLACES = 4096
 BUCKETS = 256
@@ -42,9 +42,9 @@ def pieces(docs: DataFrame, tokenizer: str, places: int = PLACES, by_word: bool
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer, by_word)
+        own = encoder(tokenizer, by_word)
         for batch in slices(batches, "text", SLICE_BYTES):
-            ids, at = encoder.encode(batch["text"])
+            ids, at = own.encode(batch["text"])
             lengths = np.diff(at)
             counts = -(-lengths // places)
             first = np.concatenate([[0], np.cumsum(counts)])
