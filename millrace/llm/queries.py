@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.llm import exact_dedup, id_files, mixing, packing, perspectives, pii, toxicity
+from millrace.llm import exact_dedup, id_files, mixing, packing, perspectives, pii, quality, toxicity
 from millrace.llm.registry import query, table
 
 
@@ -62,3 +62,8 @@ def op4(spark, folder):
 @query("op9_toxicity")
 def op9(spark, folder):
     return toxicity.severity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op3_quality")
+def op3(spark, folder):
+    return quality.judge(table(spark, folder, "documents"), table(spark, folder, "labels")).drop("tie")
