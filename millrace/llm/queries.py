@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.llm import exact_dedup, id_files, mixing, packing, perspectives, pii, quality, toxicity
+from millrace.llm import exact_dedup, id_files, mixing, packing, perspectives, pii, quality, toxicity, vector_links
 from millrace.llm.registry import query, table
 
 
@@ -67,3 +67,8 @@ def op9(spark, folder):
 @query("op3_quality")
 def op3(spark, folder):
     return quality.judge(table(spark, folder, "documents"), table(spark, folder, "labels")).drop("tie")
+
+
+@query("op7_vector_links")
+def op7(spark, folder):
+    return vector_links.link(table(spark, folder, "embeddings"))
