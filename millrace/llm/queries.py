@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.llm import exact_dedup, id_files, mixing, packing, perspectives, pii, quality, toxicity, vector_links
+from millrace.llm import exact_dedup, id_files, mixing, packing, perspectives, pii, quality, toxicity, vector_links, weighted_minhash
 from millrace.llm.registry import query, table
 
 
@@ -72,3 +72,8 @@ def op3(spark, folder):
 @query("op7_vector_links")
 def op7(spark, folder):
     return vector_links.link(table(spark, folder, "embeddings"))
+
+
+@query("op8_weighted_minhash")
+def op8(spark, folder):
+    return weighted_minhash.near_dedup(table(spark, folder, "documents"))
