@@ -36,7 +36,7 @@ NEAREST = 8
 MOST = 4096
 SAMPLE = 8
 APART = 0.5
-BLOCK = 2048
+BLOCK = 512
 _SLICE = 4096
 _STRIPE = 512
 
@@ -114,9 +114,8 @@ def linked_pairs(pivot: int, x: np.ndarray, nearest: np.ndarray, left: np.ndarra
             i, j = np.nonzero(unit[rows] @ unit[b].T >= least - 1e-9)
             i, j = rows[i], b[j]
             keep = i < j if not across else np.ones(len(i), bool)
-            found.append(np.stack([i[keep], j[keep]]))
-    pairs = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.zeros((2, 0), np.int64)
-    i, j = pairs
+            found.append(i[keep] * len(x) + j[keep])
+    i, j = np.divmod(np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64), max(len(x), 1))
     same = (nearest[i][:, :, None] == nearest[j][:, None, :]).any(axis=2)
     smallest = np.where(same, nearest[i], np.iinfo(np.int32).max).min(axis=1) if len(i) else np.zeros(0)
     cosine = np.einsum("ij,ij->i", x[i], x[j]) / np.sqrt(np.einsum("ij,ij->i", x[i], x[i]) * np.einsum("ij,ij->i", x[j], x[j]))
