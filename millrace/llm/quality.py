@@ -35,11 +35,12 @@ from pyspark.sql import functions as F
 
 from millrace.llm.frames import bytes_of, mixed, slices, words_of, written
 
-ORDER = 5
+ORDER = 4
 QUANTILE = 0.995
 HEAD = 1 << 20
 FILTER_BITS = 1 << 26
 SLICE_BYTES = 16 << 20
+WORDS = 1 << 15  # different words looked at together, so that the arrays between stay small
 _BLANK = 0x20
 
 
@@ -66,13 +67,20 @@ def grams(words: pa.Array, order: int) -> tuple[list[np.ndarray], np.ndarray, np
 
 def longest(words: pa.Array, times: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
     """(id, count) of the longest n-gram of every predicted byte."""
-    ids, word, place = grams(words, order)
-    top = ids[-1].copy()
-    for k in range(order - 1, 1, -1):
-        short = place == k - 1
-        top[short] = ids[k - 1][short]
-    seen, back = np.unique(top[place > 0], return_inverse=True)
-    return seen, np.bincount(back, times[word[place > 0]], minlength=len(seen)).astype(np.int64)
+    found, counts = [], []
+    for at in range(0, len(words), WORDS):
+        ids, word, place = grams(words.slice(at, WORDS), order)
+        top = ids[-1]
+        for k in range(order - 1, 1, -1):
+            short = place == k - 1
+            top[short] = ids[k - 1][short]
+        seen, back = np.unique(top[place > 0], return_inverse=True)
+        found.append(seen)
+        counts.append(np.bincount(back, times[at:at + WORDS][word[place > 0]], minlength=len(seen)))
+    if not found:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    seen, back = np.unique(np.concatenate(found), return_inverse=True)
+    return seen, np.bincount(back, np.concatenate(counts), minlength=len(seen)).astype(np.int64)
 
 
 def count(texts: DataFrame, order: int) -> DataFrame:
@@ -170,17 +178,27 @@ def score(docs: DataFrame, table: DataFrame, order: int = ORDER, head_size: int
     """doc_id, tie (hash of the text), lang, n (predicted bytes) and log_p, for every row of `docs`."""
     top = table.orderBy(F.desc("uses"), "id").limit(head_size)
     tail = table.join(written(top.select("id"), "head"), "id", "left_anti") if table.count() > head_size else None
-    rows = top.toPandas()
+    rows = top.select("id", F.col("delta").cast("float").alias("delta"), F.col("log_gamma").cast("float").alias("log_gamma")).toPandas()
     if not len(rows):
         rows = rows.reindex([0]).assign(id=1, delta=0.0, log_gamma=0.0)
     if tail is not None:
         tail = written(tail, "tail")
     head = docs.sparkSession.sparkContext.broadcast(Head(
-        rows["id"].to_numpy(dtype=np.int64).astype(np.uint64), rows["delta"].to_numpy(), rows["log_gamma"].to_numpy(), None if tail is None else _bits(tail)))
+        rows["id"].to_numpy(dtype=np.int64).astype(np.uint64), rows["delta"].to_numpy(np.float32), rows["log_gamma"].to_numpy(np.float32), None if tail is None else _bits(tail)))
     base = docs.select("doc_id", "lang", "text", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("tie"))
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def of_words(words: pa.Array) -> tuple[np.ndarray, np.ndarray, list]:
+        """(log chance, predicted bytes) by word, and what is asked of the dealt-out n-grams."""
+        values, sizes, asks = [np.zeros(0)], [np.zeros(0, np.int64)], []
+        for at in range(0, len(words), WORDS):
+            value, n, more = of_some(words.slice(at, WORDS))
+            values.append(value)
+            sizes.append(n)
+            asks += [(ids, word + at, predicted, context) for ids, word, predicted, context in more]
+        return np.concatenate(values), np.concatenate(sizes), asks
+
+    def of_some(words: pa.Array) -> tuple[np.ndarray, np.ndarray, list]:
         ids, word, place = grams(words, order)
         value, asks = np.full(len(word), np.log(1 / 256) + head.value.empty), []
         carried = None
@@ -240,7 +258,9 @@ def judge(docs: DataFrame, labels: DataFrame, order: int = ORDER, quantile: floa
     trusted = written(labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy(F.col("doc_id").alias("id"))
                       .agg(F.avg("quality").alias("quality")).where("quality > 0.5")
                       .select("id", (F.pmod(F.xxhash64("id"), F.lit(10)) == 0).alias("held_back")), "trusted")
-    train = docs.select("doc_id", "text").join(trusted.where("NOT held_back"), F.col("doc_id") == F.col("id"), "left_semi")
+    # the trusted ids grow with the table, so they are never sent whole, on small tables neither
+    own = trusted.where("NOT held_back").hint("merge")
+    train = docs.select("doc_id", "text").join(own, F.col("doc_id") == F.col("id"), "left_semi")
     table = written(model(written(count(train, order), "counts"), order), "model")
     perplexity = F.when(F.col("n") > 0, F.exp(-F.col("log_p") / F.col("n")))
     scored = written(score(docs, table, order, head_size).withColumn("perplexity", perplexity), "scores")
