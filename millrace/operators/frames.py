@@ -35,12 +35,20 @@ def duplicated(df: DataFrame, subset: Sequence[str], order: Sequence[str], keep:
     return out.select(*df.columns, flag.alias(name))
 
 
+def _beside(df: DataFrame, stats: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Each row of `df` with the row of `stats` of its keys; null keys are keys like others."""
+    if not keys:
+        return df.crossJoin(stats)  # one row without keys
+    own = stats.select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)], *[c for c in stats.columns if c not in keys])
+    same = [F.col(k).eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(keys)]
+    return df.join(own, same).drop(*[f"_key{i}" for i in range(len(keys))])
+
+
 def mode(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
     """Most frequent values per key, all of a tie: counts by (key, value), then their maximum."""
     counts = df.where(F.col(column).isNotNull()).groupBy(*keys, column).agg(F.count("*").alias("_n"))
     most = counts.groupBy(*keys).agg(F.max("_n").alias("_most"))
-    joined = counts.join(most, list(keys)) if keys else counts.crossJoin(most)  # one row without keys
-    return joined.where(F.col("_n") == F.col("_most")).select(*keys, column)
+    return _beside(counts, most, keys).where(F.col("_n") == F.col("_most")).select(*keys, column)
 
 
 def value_counts(df: DataFrame, columns: Sequence[str], normalize: bool = False, dropna: bool = True) -> DataFrame:
@@ -64,15 +72,15 @@ def factorize(df: DataFrame, column: str, name: str = "code") -> DataFrame:
 def mean_abs_deviation(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
     """Mean distance from the key's mean: two aggregates, the first one small."""
     means = df.groupBy(*keys).agg(F.avg(column).alias("_mean"))
-    joined = df.join(means, list(keys)) if keys else df.crossJoin(means)  # one row without keys
-    return joined.groupBy(*keys).agg(F.avg(F.abs(F.col(column) - F.col("_mean"))).alias("mad"))
+    return _beside(df, means, keys).groupBy(*keys).agg(F.avg(F.abs(F.col(column) - F.col("_mean"))).alias("mad"))
 
 
 def is_monotonic(df: DataFrame, column: str, order: Sequence[str], increasing: bool = True) -> DataFrame:
-    """One row: whether `column` never falls (or rises) along `order`."""
+    """One row: whether `column` never falls (or rises) along `order`; a null in it is a break, as in pandas."""
     after = ordered.shifted(df.select(*dict.fromkeys([column, *order])), [], order, {"_before": (column, 1)})
     step = F.col(column) >= F.col("_before") if increasing else F.col(column) <= F.col("_before")
-    return after.agg(F.coalesce(F.bool_and(step), F.lit(True)).alias("monotonic"))
+    whole = F.bool_and(F.col(column).isNotNull())
+    return after.agg((F.coalesce(F.bool_and(step), F.lit(True)) & F.coalesce(whole, F.lit(True))).alias("monotonic"))
 
 
 def compare(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -126,7 +134,7 @@ def filter_groups(df: DataFrame, keys: Sequence[str], condition: Column) -> Data
 def transform_groups(df: DataFrame, keys: Sequence[str], aggregates: dict[str, Column]) -> DataFrame:
     """Group aggregates set beside every row: a partial aggregate and a join, not a window."""
     stats = df.groupBy(*keys).agg(*[a.alias(n) for n, a in aggregates.items()])
-    return df.join(stats, list(keys)).select(*df.columns, *aggregates)
+    return _beside(df, stats, keys).select(*df.columns, *aggregates)
 
 
 def attach_id(df: DataFrame, order: Sequence[str], name: str = "id", kind: str = "sequence") -> DataFrame:

@@ -48,7 +48,7 @@ def asof_join(
     packed = F.struct(*[F.col(c).alias(names[c]) for c in taken])
 
     rights = right.where(F.col(right_on).isNotNull()).select(
-        *by, F.col(right_on).alias("_on"), packed.alias("_match"), F.lit(None).cast(left.schema.simpleString()).alias("_row")
+        *by, F.col(right_on).alias("_on"), packed.alias("_match"), F.lit(None).cast(left.schema).alias("_row")
     )
     lefts = left.select(
         *by, F.col(on).alias("_on"), F.lit(None).cast(rights.schema["_match"].dataType).alias("_match"),
@@ -84,7 +84,8 @@ def asof_join(
         ).otherwise(F.col("_back"))
     else:
         best = F.col("_back" if direction == "backward" else "_next")
-    out = out.select("_row", best.alias("_match"))
+    # a left row without a time is nearest to nothing, wherever the order puts it
+    out = out.select("_row", F.when(F.col("_row")[on].isNotNull(), best).alias("_match"))
     if tolerance is not None:
         gap = F.col("_row")[on] - F.col("_match")[names[right_on]]
         back = F.col("_match")[names[right_on]] <= F.col("_row")[on]
