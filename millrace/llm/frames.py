@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,7 +26,10 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The rows of all batches again, in pieces whose `column` has about `most` bytes, one row at least."""
+    """The rows of all batches again, in pieces whose `column` has about `most` bytes, one row at least.
+
+    At the end free memory goes back to the system: a worker lives on for tasks of other kinds.
+    """
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -33,6 +37,15 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYT
         cut = np.flatnonzero(np.diff(np.cumsum(sizes, dtype=np.int64) // most)) + 1
         for start, end in zip([0, *cut], [*cut, batch.num_rows]):
             yield batch.slice(start, end - start)
+    trim()
+
+
+def trim() -> None:
+    """Give the process's freed memory back to the system, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    give_back = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if give_back:
+        give_back(0)
 
 
 def whole(column: pa.Array, kind: pa.DataType) -> pa.Array:

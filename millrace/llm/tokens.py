@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from millrace.llm.frames import whole, words_of
 
 END = 2
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 4 << 20  # of text encoded together
 KEPT = 400_000  # words whose ids a worker remembers
 _MARK = "\x01"
 _STRETCH = 1 << 17
