@@ -5,15 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+WHOLE = ("tinyint", "smallint", "int", "bigint")
+
 
 def floordiv(a: Column, b: Column) -> Column:
-    """Quotient rounded down; null for a zero divisor."""
-    return F.floor(F.try_divide(a, b))
+    """Quotient rounded down; null for a zero divisor. Exact where both are whole numbers of at most 64 bits."""
+    exact = F.typeof(a).isin(*WHOLE) & F.typeof(b).isin(*WHOLE)
+    x, y = a.cast("bigint"), b.cast("bigint")
+    # `div` cuts towards zero: one less where there is a rest and the signs differ
+    whole = F.call_function("div", x, y) - F.when((x % y != 0) & ((x < 0) != (y < 0)), 1).otherwise(0)
+    return F.when(b != 0, F.when(exact, whole).otherwise(F.floor(F.try_divide(a, b))))
 
 
 def mod(a: Column, b: Column) -> Column:
     """Rest with the sign of the divisor; null for a zero divisor."""
-    return F.when(b != 0, a - F.floor(a / b) * b)
+    rest = a % b
+    return F.when(b != 0, F.when((rest != 0) & ((rest < 0) != (b < 0)), rest + b).otherwise(rest))
 
 
 def divmod_(a: Column, b: Column) -> tuple[Column, Column]:

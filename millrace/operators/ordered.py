@@ -310,9 +310,12 @@ def ranked(df, keys, order: str, ties: Sequence[str], **options) -> DataFrame:
 
     The ranks are made over the distinct values with their counts, so a value that many
     rows share is one row by then; `ties` (unique) settle the `first` rank inside a value.
-    A row with a null value has null ranks; one with a null key is left out, as in pandas.
+    A row with a null value or a null key has null ranks; every row stays.
     """
-    valid = df.where(F.col(order).isNotNull())
+    ranks = F.lit(True)
+    for c in [order, *keys]:
+        ranks = ranks & F.col(c).isNotNull()
+    valid = df.where(ranks)
     values = valid.groupBy(*keys, order).agg(F.count("*").alias("_tie"))
     placed = running(
         values, keys, [order], {"rank_max": running_sum("_tie"), "rank_dense": row_number()},
@@ -327,7 +330,7 @@ def ranked(df, keys, order: str, ties: Sequence[str], **options) -> DataFrame:
         average.alias("rank_average"), "rank_dense", (average / F.col("_rows")).alias("rank_pct"),
         F.col("_rows").alias("rank_size"),
     )
-    return out.unionByName(df.where(F.col(order).isNull()), allowMissingColumns=True)
+    return out.unionByName(df.where(~ranks), allowMissingColumns=True)
 
 
 def global_position(df: DataFrame, order: Sequence[str], name: str = "position", **options) -> DataFrame:

@@ -61,15 +61,28 @@ def overwrite_where(df: DataFrame, table: str, condition: Column) -> None:
     current = spark.table(table)
     hit = current.where(condition).select(*parts).distinct()
     touched = hit.unionByName(df.select(*parts).distinct()).distinct()
-    kept = current.where(~F.coalesce(condition, F.lit(False))).join(touched, parts, "left_semi")
+    kept = _matching(current.where(~F.coalesce(condition, F.lit(False))), touched, parts, "left_semi")
     rows = kept.unionByName(df.select(*current.columns)).checkpoint()
-    emptied = hit.join(rows.select(*parts).distinct(), parts, "left_anti").collect()  # partition names only
+    emptied = _matching(hit, rows.select(*parts).distinct(), parts, "left_anti").collect()  # partition names only
     overwrite_partitions(rows, table)
     for part in emptied:
-        spec = ", ".join(f"{c} = '{part[c]}'" for c in parts)
+        spec = ", ".join(f"`{c}` = {_literal(part[c])}" for c in parts)
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
 
 
+def _matching(left: DataFrame, right: DataFrame, parts: Sequence[str], how: str) -> DataFrame:
+    """`left` rows whose partition is (semi) or is not (anti) in `right`; null is a partition like others."""
+    names = right.select(*[F.col(c).alias(f"_part{i}") for i, c in enumerate(parts)])
+    return left.join(names, [left[c].eqNullSafe(names[f"_part{i}"]) for i, c in enumerate(parts)], how)
+
+
+def _literal(value) -> str:
+    if value is None:
+        return "null"
+    text = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{text}'"
+
+
 def _save(df: DataFrame, table: str, path: str, partition_by: Sequence[str], mode: str) -> None:
     writer = df.write.format("parquet").mode(mode).option("path", path)
     if partition_by:
