@@ -163,40 +163,51 @@ def cluster_power_iteration(t: Tables) -> DataFrame:
 
 # -- patterns and recommendation -------------------------------------------------------------
 
-@case("q_pattern_itemsets", """
-WITH kinds AS (SELECT DISTINCT l_orderkey AS o, p_type AS k FROM lineitem JOIN part ON l_partkey = p_partkey), n AS (SELECT count(DISTINCT o) AS n FROM kinds)
-SELECT k AS items, count(*) AS freq FROM kinds GROUP BY k HAVING count(*) >= 0.2 * (SELECT n FROM n)
-UNION ALL SELECT a.k || ',' || b.k, count(*) FROM kinds a JOIN kinds b ON a.o = b.o AND a.k < b.k GROUP BY a.k, b.k HAVING count(*) >= 0.2 * (SELECT n FROM n)""")
-def pattern_itemsets(t: Tables) -> DataFrame:
+#: Every set of kinds of every order; a set's kinds are in order of name.
+_SETS = """
+WITH RECURSIVE kinds AS (SELECT DISTINCT l_orderkey AS o, p_type AS k FROM lineitem JOIN part ON l_partkey = p_partkey),
+sets AS (SELECT o, [k] AS s FROM kinds UNION ALL SELECT sets.o, list_append(s, k) FROM sets JOIN kinds ON sets.o = kinds.o AND k > s[len(s)]),
+often AS (SELECT s, count(*) AS freq FROM sets GROUP BY s HAVING count(*) >= {} * (SELECT count(DISTINCT o) FROM kinds))"""
+
+
+def _baskets(t: Tables) -> DataFrame:
     """Kinds of part bought together; a basket is one order."""
     lines = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
-    baskets = lines.groupBy("l_orderkey").agg(F.collect_set("p_type").alias("items"))
-    found = fpm.FPGrowth(minSupport=0.2, minConfidence=0.5).fit(baskets).freqItemsets
-    return found.where(F.size("items") <= 2).select(F.array_join(F.array_sort("items"), ",").alias("items"), "freq")
+    return lines.groupBy("l_orderkey").agg(F.collect_set("p_type").alias("items"))
 
 
-@case("q_pattern_rules", """
-WITH kinds AS (SELECT DISTINCT l_orderkey AS o, p_type AS k FROM lineitem JOIN part ON l_partkey = p_partkey), one AS (SELECT k, count(*) AS c FROM kinds GROUP BY 1),
-two AS (SELECT a.k AS a, b.k AS b, count(*) AS c FROM kinds a JOIN kinds b ON a.o = b.o AND a.k <> b.k GROUP BY 1, 2)
-SELECT two.a AS antecedent, two.b AS consequent, round(two.c * 1.0 / one.c, 6) AS confidence FROM two JOIN one ON two.a = one.k
-WHERE two.c >= 0.1 * (SELECT count(DISTINCT o) FROM kinds) AND two.c * 1.0 / one.c >= 0.4""")
+@case("q_pattern_itemsets", _SETS.format(0.1) + " SELECT array_to_string(s, ',') AS items, freq FROM often")
+def pattern_itemsets(t: Tables) -> DataFrame:
+    found = fpm.FPGrowth(minSupport=0.1, minConfidence=0.5).fit(_baskets(t)).freqItemsets
+    return found.select(F.array_join(F.array_sort("items"), ",").alias("items"), "freq")
+
+
+@case("q_pattern_rules", _SETS.format(0.1) + """,
+ends AS (SELECT s, freq, unnest(s) AS e FROM often WHERE len(s) > 1),
+rules AS (SELECT list_filter(s, lambda x: x <> e) AS a, e, freq FROM ends)
+SELECT array_to_string(a, ',') AS antecedent, e AS consequent, round(rules.freq * 1.0 / often.freq, 6) AS confidence
+FROM rules JOIN often ON a = often.s WHERE rules.freq * 1.0 / often.freq >= 0.4""")
 def pattern_rules(t: Tables) -> DataFrame:
-    lines = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
-    baskets = lines.groupBy("l_orderkey").agg(F.collect_set("p_type").alias("items"))
-    rules = fpm.FPGrowth(minSupport=0.1, minConfidence=0.4).fit(baskets).associationRules
-    return rules.where(F.size("antecedent") == 1).select(
-        F.col("antecedent")[0].alias("antecedent"), F.col("consequent")[0].alias("consequent"), F.round("confidence", 6).alias("confidence")
+    rules = fpm.FPGrowth(minSupport=0.1, minConfidence=0.4).fit(_baskets(t)).associationRules
+    return rules.select(
+        F.array_join(F.array_sort("antecedent"), ",").alias("antecedent"), F.col("consequent")[0].alias("consequent"),
+        F.round("confidence", 6).alias("confidence"),
     )
 
 
 @case("q_pattern_sequences", """
-SELECT role AS step, count(DISTINCT conv_id) AS freq FROM conversations GROUP BY 1 HAVING count(DISTINCT conv_id) >= 0.1 * (SELECT count(DISTINCT conv_id) FROM conversations)""")
+WITH t AS (SELECT conv_id AS c, role, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role) AS n FROM conversations),
+steps AS (
+  SELECT c, role AS steps FROM t
+  UNION ALL SELECT x.c, x.role || '>' || y.role FROM t x JOIN t y ON x.c = y.c AND x.n < y.n
+  UNION ALL SELECT x.c, x.role || '>' || y.role || '>' || z.role FROM t x JOIN t y ON x.c = y.c AND x.n < y.n JOIN t z ON y.c = z.c AND y.n < z.n)
+SELECT steps, count(DISTINCT c) AS freq FROM steps GROUP BY 1 HAVING count(DISTINCT c) >= 0.1 * (SELECT count(DISTINCT c) FROM t)""")
 def pattern_sequences(t: Tables) -> DataFrame:
-    """Frequent orders of roles in talks; a sequence is one talk, which has few turns."""
+    """Frequent orders of one to three roles in talks; a sequence is one talk, which has few turns."""
     turns = t.conversations.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role"))).alias("x"))
     sequences = turns.select(F.transform("x", lambda e: F.array(e["role"])).alias("sequence"))
     found = fpm.PrefixSpan(minSupport=0.1, maxPatternLength=3).findFrequentSequentialPatterns(sequences)
-    return found.where((F.size("sequence") == 1)).select(F.col("sequence")[0][0].alias("step"), "freq")
+    return found.select(F.array_join(F.transform("sequence", lambda s: s[0]), ">").alias("steps"), "freq")
 
 
 @case("q_model_als", "SELECT count(*) AS n, TRUE AS better, TRUE AS three_each FROM (SELECT DISTINCT o_custkey, p_type FROM orders JOIN lineitem ON o_orderkey = l_orderkey JOIN part ON l_partkey = p_partkey)")
