@@ -84,10 +84,13 @@ def is_monotonic(df: DataFrame, column: str, order: Sequence[str], increasing: b
 
 
 def compare(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Cells that differ between two tables of the same keys: key, column name, both values as text."""
+    """Cells that differ between two tables of the same keys: key, column name, both values as text.
+
+    A key of one table only stops the job, as in pandas; null keys are keys like others.
+    """
     columns = [c for c in left.columns if c not in keys]
     a = left.select(*keys, F.struct(*columns).alias("_a"))
-    b = right.select(*keys, F.struct(*columns).alias("_b"))
+    b = right.select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)], F.struct(*columns).alias("_b"))
     cells = F.array(*[
         F.struct(
             F.lit(c).alias("column"), F.col("_a")[c].cast("string").alias("self"), F.col("_b")[c].cast("string").alias("other"),
@@ -95,7 +98,10 @@ def compare(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame
         )
         for c in columns
     ])
-    rows = a.join(b, list(keys)).select(*keys, F.inline(F.filter(cells, lambda x: x["differs"])))
+    both = a.join(b, [F.col(k).eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(keys)], "full")
+    alone = F.col("_a").isNull() | F.col("_b").isNull()
+    guard = F.when(alone, F.raise_error(F.lit("tables differ in their keys")).cast("boolean")).otherwise(F.lit(True))
+    rows = both.where(guard).select(*keys, F.inline(F.filter(cells, lambda x: x["differs"])))
     return rows.drop("differs")
 
 

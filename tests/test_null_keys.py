@@ -57,3 +57,11 @@ def test_overwrite_where_with_null_and_quoted_partitions(spark, tmp_path):
         assert held() == {(1, "a"), (7, "a"), (8, "a")}
     finally:
         spark.sql("DROP TABLE null_parts")
+
+
+def test_compare_keeps_null_keys_and_refuses_lone_ones(spark):
+    a = spark.createDataFrame([(1, "x"), (None, "y")], "k int, v string")
+    b = spark.createDataFrame([(1, "x"), (None, "z")], "k int, v string")
+    assert [tuple(r) for r in frames.compare(a, b, ["k"]).collect()] == [(None, "v", "y", "z")]
+    with pytest.raises(Exception, match="differ in their keys"):
+        frames.compare(a, b.where("k = 1"), ["k"]).collect()
