@@ -26,34 +26,54 @@ BLOCK_ROWS = 1_000_000
 _KEY, _CHUNK, _SORT, _SUB = "_key", "_chunk", "_sort", "_sub"
 
 
-def _text_number(column: str, at: int) -> Column:
-    """Six bytes of a text from byte `at` on, as a number that orders as they do."""
-    head = F.rpad(F.hex(F.substring(F.encode(column, "UTF-8"), at, 6)), 12, "0")
-    return F.conv(head, 16, 10).cast("double")
+SAMPLED = 10          # texts looked at for one bound
+BOUND_CHARS = 1024    # of a text are kept in a bound
+
+
+def _as_number(df: DataFrame, name: str) -> Column | None:
+    """The order column as a double that never falls along it; None for a text."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, NumericType):
+        return F.col(name).cast("double")
+    if isinstance(kind, DateType):
+        return F.unix_date(name).cast("double")
+    if isinstance(kind, (TimestampType, TimestampNTZType)):
+        return F.unix_micros(F.col(name).cast("timestamp")).cast("double")
+    if isinstance(kind, StringType):
+        return None
+    raise TypeError(f"order column {name} is {kind.simpleString()}; give `chunk` for it")
+
+
+def _number_cut(df: DataFrame, number: Column, pieces: int) -> tuple[list, bool]:
+    """Bounds that cut the rows in even pieces, and whether nulls fill more than one."""
+    points = [i / pieces for i in range(1, pieces)]
+    picked = df.select(number.alias(_SORT), number.isNull().cast("double").alias(_SUB))
+    # the bounds only even out the chunks, so a coarse error does no harm
+    bounds, nulls = picked.approxQuantile([_SORT, _SUB], points, max(1 / (4 * pieces), 1e-4))
+    return bounds, nulls.count(1.0) > 1
 
 
-def sort_levels(df: DataFrame, order: Sequence[str]) -> list[Column]:
-    """Doubles that never fall along `order`, each one splitting ties of those before it.
+def _text_cut(df: DataFrame, name: str, pieces: int) -> tuple[list, bool]:
+    """As `_number_cut`, from a sample of whole texts: some `SAMPLED` for a bound, whatever the table's size."""
+    rows, filled = df.agg(F.count("*"), F.count(name)).first()
+    wanted = SAMPLED * pieces
+    texts = df.where(F.col(name).isNotNull()).select(F.substring(name, 1, BOUND_CHARS).alias(_SORT))
+    seen = texts.sample(wanted / filled, seed=7) if filled > wanted else texts
+    values = sorted((r[0] for r in seen.collect()), key=str.encode)
+    bounds = [values[len(values) * i // pieces] for i in range(1, pieces)] if values else []
+    return bounds, (rows - filled) * pieces > 2 * rows
 
-    Numbers, dates and times are one level; a text is two and ends the list, since equal
-    heads do not mean equal texts.
-    """
-    levels = []
-    for name in order:
-        kind = df.schema[name].dataType
-        if isinstance(kind, NumericType):
-            levels.append(F.col(name).cast("double"))
-        elif isinstance(kind, DateType):
-            levels.append(F.unix_date(name).cast("double"))
-        elif isinstance(kind, (TimestampType, TimestampNTZType)):
-            levels.append(F.unix_micros(F.col(name).cast("timestamp")).cast("double"))
-        elif isinstance(kind, StringType):
-            return [*levels, _text_number(name, 1), _text_number(name, 7)]
-        else:
-            break
-    if not levels:
-        raise TypeError(f"order column {order[0]} is {df.schema[order[0]].dataType.simpleString()}; give `chunk` for it")
-    return levels
+
+def _place(value: Column, bounds: list) -> Column:
+    """How many of the sorted bounds are at or below the value, found by halving; a null sorts first, so zero."""
+    if not bounds:
+        return F.lit(0).cast("bigint")
+    held, steps = F.array(*map(F.lit, bounds)), [1 << i for i in reversed(range(len(bounds).bit_length()))]
+
+    def onward(at: Column, step: Column) -> Column:
+        return F.when(F.coalesce(F.get(held, at + step - 1) <= value, F.lit(False)), at + step).otherwise(at)
+
+    return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), onward).cast("bigint")
 
 
 def _cut(df: DataFrame, number: Column, bounds: list[float], out: str) -> DataFrame:
@@ -70,42 +90,51 @@ def _cut(df: DataFrame, number: Column, bounds: list[float], out: str) -> DataFr
 def with_chunks(df: DataFrame, order: Sequence[str], pieces: int | None = None, chunk: Column | None = None) -> DataFrame:
     """Add the chunk number, which never falls along `order`.
 
-    The bounds come from one pass over the first order column (approximate quantiles) and
-    are then constants, so a recomputed task puts a row in the same chunk again. A value
-    that fills more than one piece is seen by its repeated bound; its rows are then cut
-    along the second order column as well.
+    The bounds come from a pass over the first order column (approximate quantiles of
+    numbers and times, a sample of texts) and are then constants, so a recomputed task puts
+    a row in the same chunk again. A value that fills more than one piece is seen by its
+    repeated bound; its rows are then cut along the next order column, and so on. A text is
+    compared whole; only one of more than `BOUND_CHARS` characters that fills pieces by
+    itself is not cut further.
     """
     if chunk is not None:
         return df.withColumn(_CHUNK, chunk.cast("bigint"))
     pieces = pieces or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    levels = sort_levels(df, order)
-    points = [i / pieces for i in range(1, pieces)]
-
-    # the bounds only even out the chunks, so a coarse error does no harm
-    error = max(1 / (4 * pieces), 1e-4)
-
-    def bounds_of(rows: DataFrame, *numbers: Column) -> list[list[float]]:
-        names = [f"{_SORT}{n}" for n in range(len(numbers))]
-        picked = rows.select(*[c.alias(n) for c, n in zip(numbers, names)])
-        return picked.approxQuantile(names, points, error) if points else [[] for _ in names]
-
-    first = levels[0]
-    raw, nulls = bounds_of(df, first, first.isNull().cast("double"))
-    out = _cut(df, first, sorted(set(raw)), _CHUNK)
-    # a whole number past 2**53 has no double of its own, so equal doubles are not equal values there
-    repeats = Counter(raw)
-    hot = sorted(v for v, n in repeats.items() if n > 1 and abs(v) < 2.0 ** 53)
-    many_nulls = nulls.count(1.0) > 1
-    if not (hot or many_nulls) or len(levels) < 2:
-        return out
-    is_hot = F.coalesce(first.isin(hot), F.lit(False)) if hot else F.lit(False)
-    crowded = is_hot | first.isNull()
-    (second,) = bounds_of(df.where(crowded), levels[1])
-    out = _cut(out, levels[1], sorted(set(second)), _SUB)
-    # inside a hot value's chunk the hot rows come first, then the greater values; nulls go before all
-    place = F.when(crowded, F.col(_SUB)).otherwise(F.lit(pieces + 1))
-    start = F.when(first.isNull(), F.lit(-1)).otherwise(F.col(_CHUNK))
-    return out.withColumn(_CHUNK, start * (pieces + 2) + place).drop(_SUB)
+    if pieces < 2:
+        return df.withColumn(_CHUNK, F.lit(0).cast("bigint"))
+    width = pieces + 2
+    out, crowded = df, None
+    for depth, name in enumerate(order):
+        if depth and width ** (depth + 1) >= 1 << 62:
+            break
+        try:
+            number = _as_number(df, name)
+        except TypeError:
+            if depth:
+                break
+            raise
+        rows = df if crowded is None else df.where(crowded)
+        bounds, many_nulls = _text_cut(rows, name, pieces) if number is None else _number_cut(rows, number, pieces)
+        distinct = sorted(set(bounds), key=str.encode if number is None else None)
+        if number is None:
+            out = out.withColumn(_SUB, _place(F.col(name), distinct))
+        else:
+            out = _cut(out, number, distinct, _SUB)
+        # nulls go before all; inside a hot value's chunk the hot rows come first, then the greater values
+        own = F.when(F.col(name).isNull(), F.lit(0)).otherwise(F.col(_SUB) + 1)
+        if crowded is None:
+            out = out.withColumn(_CHUNK, own)
+        else:
+            out = out.withColumn(_CHUNK, F.col(_CHUNK) * width + F.when(crowded, own).otherwise(F.lit(width - 1)))
+        out = out.drop(_SUB)
+        # a whole number past 2**53 has no double of its own, so equal doubles are not equal values there
+        hot = [v for v, n in Counter(bounds).items() if n > 1 and (number is None or abs(v) < 2.0 ** 53)]
+        if not (hot or many_nulls):
+            break
+        value = F.col(name) if number is None else number
+        is_hot = value.isNull() | F.coalesce(value.isin(hot), F.lit(False)) if hot else value.isNull()
+        crowded = is_hot if crowded is None else crowded & is_hot
+    return out.withColumn(_CHUNK, F.col(_CHUNK).cast("bigint"))
 
 
 def _sort_columns(order: Sequence[str], descending: bool) -> list[Column]:

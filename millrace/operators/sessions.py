@@ -21,5 +21,7 @@ def sessionize(
     order = [time, *ties]
     placed = shifted(df, keys, order, {"_before": (time, 1)}, **options)
     fresh = F.when(F.col(time) - F.col("_before") < gap, 0).otherwise(1)
-    numbered = running(placed.withColumn("_fresh", fresh), keys, order, {name: running_sum("_fresh")})
+    # only `block_rows` is for the shift alone
+    cuts = {k: v for k, v in options.items() if k in ("pieces", "chunk")}
+    numbered = running(placed.withColumn("_fresh", fresh), keys, order, {name: running_sum("_fresh")}, **cuts)
     return numbered.drop("_before", "_fresh")

@@ -127,6 +127,26 @@ def test_many_null_order_values_are_spread(spark):
         same(got, df.select("*", F.row_number().over(w).alias("rn")))
 
 
+@pytest.mark.parametrize("head", ["https://www.example.com/page/", "Customer#000000"])
+def test_texts_with_long_common_heads_are_spread(spark, head):
+    df = spark.range(2000).select(F.concat(F.lit(head), F.lpad(F.col("id").cast("string"), 4, "0")).alias("t"), "id")
+    cut = o.with_chunks(df, ["t"], 10)
+    assert cut.groupBy("_chunk").count().agg(F.max("count")).first()[0] <= 400
+    assert cut.groupBy("_chunk").agg(F.min("t").alias("lo"), F.max("t").alias("hi")).orderBy("_chunk").count() >= 9
+    got = o.global_position(df, ["t"], "n", pieces=10)
+    assert got.where("n <> id").count() == 0
+
+
+def test_rows_hot_on_two_levels_are_cut_along_the_third(spark):
+    third = F.when(F.col("id") % 7 == 0, None).otherwise(F.lit("k")).alias("b")
+    df = spark.range(3000).select((F.col("id") % 2).alias("a"), third, "id")
+    cut = o.with_chunks(df, ["a", "b", "id"], 10)
+    assert cut.groupBy("_chunk").count().agg(F.max("count")).first()[0] <= 700
+    got = o.global_position(df, ["a", "b", "id"], "n", pieces=10).orderBy("n").collect()
+    want = sorted(got, key=lambda r: (r.a, r.b is not None, r.b or "", r.id))
+    assert [r.id for r in got] == [r.id for r in want]
+
+
 def test_text_order(spark):
     words = ["a", "ab", "abcdef", "abcdefg", "abcdefz", "é", "zz", None]
     data = [(i, words[i % 8] and words[i % 8] + "x" * (i % 3)) for i in range(160)]
