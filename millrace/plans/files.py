@@ -60,11 +60,19 @@ def file_orc(t: Tables) -> DataFrame:
     return t.spark.read.format("orc").load(path)
 
 
-@case("q_file_text", "SELECT text AS value FROM benchmark WHERE text NOT LIKE '%' || chr(10) || '%'")
+@case("q_file_text", "SELECT coalesce(text, '') AS value FROM documents")
 def file_text(t: Tables) -> DataFrame:
+    """One line per document: line breaks are written as escapes and read back as themselves."""
     path = scratch(t.spark, "text")
-    t.benchmark.where(~F.col("text").contains("\n")).select("text").write.mode("overwrite").text(path)
-    return t.spark.read.text(path)
+    escapes = {"%": "%25", "\n": "%0A", "\r": "%0D"}
+    line = F.coalesce("text", F.lit(""))
+    for sign, written in escapes.items():
+        line = F.replace(line, F.lit(sign), F.lit(written))
+    t.documents.select(line.alias("value")).write.mode("overwrite").text(path)
+    value = F.col("value")
+    for sign, written in reversed(escapes.items()):
+        value = F.replace(value, F.lit(written), F.lit(sign))
+    return t.spark.read.text(path).select(value.alias("value"))
 
 
 @case("q_file_range", "SELECT o_orderkey, o_orderkey % 4 AS part FROM orders")

@@ -69,49 +69,102 @@ def expand_archives(archives: DataFrame, suffix: str = ".csv", max_member_bytes:
     )
 
 
-def land_archives(spark: SparkSession, folder: str, landing: str, suffix: str = ".csv") -> DataFrame:
-    """Write every fitting member of the archives in `folder` to `landing`, from the executors.
+def qualified(spark: SparkSession, path: str) -> str:
+    """`path` with the scheme of the store that Spark takes it to be in."""
+    jvm = spark.sparkContext._jvm
+    found = jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(found).toString()
+
+
+def _store(uri: str):
+    """(file system, path) of a qualified path, inside a task."""
+    import re
+
+    from pyarrow import fs
+
+    if uri.startswith("file:"):
+        return fs.LocalFileSystem(), uri.removeprefix("file://").removeprefix("file:")
+    return fs.FileSystem.from_uri(re.sub("^s3[an]:", "s3:", uri))
+
+
+def _archive(uri: str):
+    """The zip archive at a path, read by seeking; a small one is read at once, since the
+    reader looks for marks before the end that may lie before its start."""
+    import io
+    import zipfile
+
+    store, path = _store(uri)
+    file = store.open_input_file(path)
+    return zipfile.ZipFile(io.BytesIO(file.read()) if file.size() < 1 << 20 else file)
 
-    A member is copied as a stream by the task that holds its archive, so its bytes never
-    go through a shuffle. One whose name is landed already is skipped. A file is written
-    under a hidden name and then renamed, so a retried task leaves no half file. Gives
-    the landed names once the frame is run.
+
+def archive_members(spark: SparkSession, folder: str, suffix: str = ".csv") -> DataFrame:
+    """archive, member, file_name, bytes, crc of every fitting member of the zip archives in `folder`.
+
+    Only the archives' own directories are read, by seeking in the file: no archive is held whole.
     """
-    archives = (
+    paths = (
         spark.read.format("binaryFile").option("pathGlobFilter", "*.zip")
-        .option("recursiveFileLookup", "true").load(folder)
+        .option("recursiveFileLookup", "true").load(folder).select("path")
     )
 
+    def members(batches: Iterator) -> Iterator:
+        import pandas as pd
+
+        for batch in batches:
+            for path in batch["path"]:
+                with _archive(path) as archive:
+                    rows = [
+                        (path, i.filename, i.filename.rsplit("/", 1)[-1], i.file_size, i.CRC)
+                        for i in archive.infolist() if not i.is_dir() and i.filename.lower().endswith(suffix)
+                    ]
+                yield pd.DataFrame(rows, columns=["archive", "member", "file_name", "bytes", "crc"])
+
+    return paths.mapInPandas(members, "archive string, member string, file_name string, bytes bigint, crc bigint")
+
+
+def land_archives(spark: SparkSession, folder: str, landing: str, suffix: str = ".csv") -> DataFrame:
+    """Write every fitting member of the archives in `folder` to `landing`, from the executors.
+
+    Members of one name must be equal (size and checksum): they are landed once, from the
+    first archive by path. Where they differ nothing is landed and the names are told. A name
+    that was in `landing` before is skipped. Each member is copied as a stream of 1 MB at a
+    time by the task that its name is dealt to, so neither an archive nor a member is held whole. A
+    file is written under a hidden name and then moved, so a retried task leaves no half
+    file and replaces its own. Gives the landed names once the frame is run.
+    """
+    found = archive_members(spark, folder, suffix)
+    differ = F.count_distinct("bytes", "crc") > 1
+    clashes = found.groupBy("file_name").agg(differ.alias("differ")).where("differ").select("file_name").take(5)
+    if clashes:
+        raise ValueError(f"different members of one name: {', '.join(sorted(r.file_name for r in clashes))}")
+    first = F.min(F.struct("archive", "member")).alias("first")
+    chosen = found.groupBy("file_name").agg(first).select("file_name", "first.*")
+    try:
+        # the listing is made here, so it does not hold what this run lands
+        chosen = chosen.join(landed_files(spark, landing).select("file_name"), "file_name", "left_anti")
+    except AnalysisException as error:
+        if not is_missing_path(error):
+            raise
+    target = qualified(spark, landing)
+
     def land(batches: Iterator) -> Iterator:
-        import io
         import shutil
         import uuid
-        import zipfile
-
-        import pandas as pd
-        from pyarrow import fs
 
-        store, base = fs.FileSystem.from_uri(landing if "://" in landing else f"file://{landing}")
+        store, base = _store(target)
         store.create_dir(base, recursive=True)
         for batch in batches:
-            names = []
-            for content in batch["content"]:
-                with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                    for info in archive.infolist():
-                        name = info.filename.rsplit("/", 1)[-1]
-                        target = f"{base}/{name}"
-                        if info.is_dir() or not name.lower().endswith(suffix):
-                            continue
-                        if store.get_file_info(target).type != fs.FileType.NotFound:
-                            continue
+            for path, rows in batch.groupby("archive"):
+                with _archive(path) as archive:
+                    for name, member in zip(rows["file_name"], rows["member"]):
                         part = f"{base}/_{name}.{uuid.uuid4().hex}"
-                        with archive.open(info) as member, store.open_output_stream(part) as out:
-                            shutil.copyfileobj(member, out, 1 << 20)
-                        store.move(part, target)
-                        names.append(name)
-            yield pd.DataFrame({"file_name": pd.Series(names, dtype="object")})
+                        with archive.open(member) as data, store.open_output_stream(part) as out:
+                            shutil.copyfileobj(data, out, 1 << 20)
+                        store.move(part, f"{base}/{name}")
+            yield batch[["file_name"]]
 
-    return archives.select("content").mapInPandas(land, "file_name string")
+    return chosen.mapInPandas(land, "file_name string")
 
 
 def read_delimited(

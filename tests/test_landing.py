@@ -178,6 +178,20 @@ def test_archive_members_are_landed_once(spark, tmp_path):
     assert sorted(r.file_name for r in landing.landed_files(spark, str(zone)).collect()) == ["one.csv", "two.CSV"]
 
 
+def test_archives_with_members_of_one_name(spark, tmp_path):
+    zips, zone = tmp_path / "zips", tmp_path / "zone"
+    zips.mkdir()
+    archive(zips / "a.zip", {"prices.csv": "1", "own a.csv": "a"})
+    archive(zips / "b.zip", {"d/prices.csv": "1", "e/prices.csv": "1"})
+    archive(zips / "none.zip", {})
+    assert sorted(r.file_name for r in landing.land_archives(spark, str(zips), str(zone)).collect()) == ["own a.csv", "prices.csv"]
+    assert sorted(p.name for p in zone.iterdir() if not p.name.startswith(".")) == ["own a.csv", "prices.csv"]
+    archive(zips / "c.zip", {"prices.csv": "2"})
+    with pytest.raises(ValueError, match="prices.csv"):
+        landing.land_archives(spark, str(zips), str(tmp_path / "other"))
+    assert not (tmp_path / "other").exists()
+
+
 def test_archive_member_past_the_bound_stops(spark, tmp_path):
     archive(tmp_path / "x.zip", {"big.csv": "x" * 100})
     frame = spark.read.format("binaryFile").load(f"{tmp_path}/x.zip")
