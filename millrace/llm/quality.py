@@ -13,8 +13,8 @@ away, and all counts are sums, groups and equi-joins on numbers that Spark deals
   log g(context_k) + sum over seen k of d(gram_k)`, where `d = log p_k - log g - log p_(k-1)`.
   So a document's score is a sum over its n-grams, each with two numbers of its own.
 * The `HEAD` most used n-grams go to every task, a bound on what is sent. The rest stay
-  dealt out: documents ask for those that a bit filter lets through, and the join's sums are
-  added. Every different word of a batch is scored once.
+  dealt out: each different word asks once for those that a bit filter lets through, and the
+  join's sums by word are added to its documents. Every different word of a batch is scored once.
 * A document goes whose perplexity is above the `QUANTILE` of the tenth held back, in its
   language; a language without such documents takes the quantile of all, and without any
   trusted text nothing is judged. Texts without words go.
@@ -33,15 +33,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.frames import bytes_of, mixed, slices, words_of, written
+from millrace.llm.frames import bytes_of, hash_words, mixed, slices, words_of, written
 
-ORDER = 4
+ORDER = 5
 QUANTILE = 0.995
 HEAD = 1 << 20
 FILTER_BITS = 1 << 26
 SLICE_BYTES = 16 << 20
 WORDS = 1 << 15  # different words looked at together, so that the arrays between stay small
 _BLANK = 0x20
+_WORD_KEYS = ("millrace-llm-key", "millrace-llm-two")  # 128 bits that tell words apart
 
 
 def grams(words: pa.Array, order: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
@@ -222,22 +223,36 @@ def score(docs: DataFrame, table: DataFrame, order: int = ORDER, head_size: int
             yield pa.RecordBatch.from_arrays([*(batch[c] for c in ("doc_id", "tie", "lang")), pa.array(total(n).astype(np.int64)), pa.array(total(value))],
                                              ["doc_id", "tie", "lang", "n", "log_p"])
 
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def asking(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        """Slices with their words, and of these what they ask, summed by word and n-gram."""
         for batch in slices(batches, "text", SLICE_BYTES):
             codes, at, words = words_of(batch["text"])
             _, _, asks = of_words(words)
+            if not asks:
+                continue
+            ids, word, predicted, context = (np.concatenate(x) for x in zip(*asks))
+            by = np.lexsort((ids, word))
+            ids, word = ids[by], word[by]
+            first = np.flatnonzero(np.concatenate([[True], (ids[1:] != ids[:-1]) | (word[1:] != word[:-1])]))
+            sums = [np.add.reduceat(x[by].astype(np.int64), first) for x in (predicted, context)]
+            mine = np.unique(word)
+            names = [hash_words(words.take(pa.array(mine)), key).astype(np.int64) for key in _WORD_KEYS]
+            yield batch, codes, at, mine, names, np.searchsorted(mine, word[first]), ids[first].astype(np.int64), sums
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, _, _, _, names, word, ids, sums in asking(batches):
+            yield pa.RecordBatch.from_arrays([*(pa.array(x[word]) for x in names), pa.array(ids), *map(pa.array, sums)],
+                                             ["word", "other", "id", "predicted", "context"])
+
+    def uses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, codes, at, mine, names, _, _, _ in asking(batches):
             row = np.repeat(np.arange(len(at) - 1), np.diff(at))
-            pairs, times = np.unique(row * max(len(words), 1) + codes, return_counts=True)
-            word_of, row_of = pairs % max(len(words), 1), pairs // max(len(words), 1)
-            by_word = np.argsort(word_of, kind="stable")
-            for ids, word, predicted, context in asks:
-                first = np.searchsorted(word_of[by_word], word, "left")
-                n = np.searchsorted(word_of[by_word], word, "right") - first
-                pick = by_word[np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())]
-                where = pa.array(row_of[pick])
-                cells = [np.repeat(x, n).astype(np.int64) * (times[pick] if i else 1) for i, x in enumerate((ids.astype(np.int64), predicted, context))]
-                yield pa.RecordBatch.from_arrays([batch["doc_id"].take(where), batch["tie"].take(where), *map(pa.array, cells)],
-                                                 ["doc_id", "tie", "id", "predicted", "context"])
+            place = np.minimum(np.searchsorted(mine, codes), len(mine) - 1)
+            asks = mine[place] == codes
+            pairs, times = np.unique(row[asks] * len(mine) + place[asks], return_counts=True)
+            row, word = pa.array(pairs // len(mine)), pairs % len(mine)
+            yield pa.RecordBatch.from_arrays([batch["doc_id"].take(row), batch["tie"].take(row), *(pa.array(x[word]) for x in names), pa.array(times)],
+                                             ["doc_id", "tie", "word", "other", "times"])
 
     scored = base.mapInArrow(run, f"doc_id {kind}, tie bigint, lang string, n bigint, log_p double")
     if tail is None:
@@ -245,9 +260,12 @@ def score(docs: DataFrame, table: DataFrame, order: int = ORDER, head_size: int
     key = F.struct("doc_id", "tie").alias("key")
     # the sums of a row, not of all rows that repeat it
     copies = base.groupBy(key).agg(F.count("*").alias("copies"))
-    asked = (base.mapInArrow(ask, f"doc_id {kind}, tie bigint, id bigint, predicted bigint, context bigint")
-             .groupBy(key, "id").agg(F.sum("predicted").alias("predicted"), F.sum("context").alias("context")))
-    more = (asked.join(tail, "id").groupBy("key").agg(F.sum(F.col("predicted") * F.col("delta") + F.col("context") * F.col("log_gamma")).alias("more"))
+    # each different word asks once, whatever the number of its documents
+    asked = base.mapInArrow(ask, "word bigint, other bigint, id bigint, predicted bigint, context bigint").distinct()
+    by_word = (asked.join(tail, "id").groupBy("word", "other")
+               .agg(F.sum(F.col("predicted") * F.col("delta") + F.col("context") * F.col("log_gamma")).alias("more")))
+    used = base.mapInArrow(uses, f"doc_id {kind}, tie bigint, word bigint, other bigint, times bigint")
+    more = (used.join(by_word, ["word", "other"]).groupBy(key).agg(F.sum(F.col("times") * F.col("more")).alias("more"))
             .join(copies, "key").withColumn("more", F.col("more") / F.col("copies")))
     return (scored.select("*", key).join(more, "key", "left")
             .select("doc_id", "tie", "lang", "n", (F.col("log_p") + F.coalesce("more", F.lit(0.0))).alias("log_p")))

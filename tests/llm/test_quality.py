@@ -70,6 +70,30 @@ def test_scores_against_brute_force(spark, order, head):
     assert all(math.isclose(g[2], w[2], rel_tol=1e-6, abs_tol=1e-6) for g, w in zip(got, want))
 
 
+def test_five_bytes_are_told_apart(spark):
+    """Both words have only known stretches of four bytes; the fifth byte of "abcde" never follows "abcd"."""
+    train = spark.createDataFrame([("abcdx zbcde",)] * 20, "text string")
+    table = Q.model(Q.count(train, Q.ORDER))
+    docs = spark.createDataFrame([(1, "abcdx", "l", "x", "y"), (2, "abcde", "l", "x", "y"), (3, "zbcde", "l", "x", "y")], DOCS)
+    for head in (1 << 20, 1):
+        got = {r.doc_id: r.log_p for r in Q.score(docs, table, head_size=head).collect()}
+        assert got[2] < min(got[1], got[3]) - 1
+
+
+def test_a_word_asks_once(spark):
+    """The dealt-out n-grams are asked for by word, not by document."""
+    table = Q.model(Q.count(spark.createDataFrame([("abcdx zbcde",)], "text string"), Q.ORDER))
+    sizes = []
+    for n in (2, 200):
+        docs = spark.createDataFrame([(i, "abcdx zbcde abcdx", "l", "x", "y") for i in range(n)], DOCS).repartition(2)
+        got = Q.score(docs, table, head_size=1)
+        assert len({(r.n, round(r.log_p, 6)) for r in got.collect()}) == 1
+        plan = got._jdf.queryExecution().executedPlan()
+        sizes.append(got.count())
+        assert "HashAggregate(keys=[word" in plan.toString()
+    assert sizes == [2, 200]
+
+
 def test_judges_by_language(spark):
     pick = random.Random(7)
     say = {"x": "the of and ing ed ly".split(), "y": "que les des une ent".split()}
