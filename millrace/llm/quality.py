@@ -5,7 +5,7 @@ from up to `ORDER` - 1 bytes before it in the word. An n-gram is one number: its
 byte highest, under a leading one. So the context is `id >> 8`, the shorter n-gram a mask
 away, and all counts are sums, groups and equi-joins on numbers that Spark deals out.
 
-* Training text: documents labelled good, but for every tenth by id hash. Longest n-grams
+* Training text: documents labelled good. Longest n-grams
   are counted; a shorter one counts the different bytes before it, but one that begins a
   word has no byte before it and keeps its own count. Each order has three discounts.
 * Score of a byte at a place: with `p_k` the interpolated chance at order k and `g` the
@@ -15,9 +15,12 @@ away, and all counts are sums, groups and equi-joins on numbers that Spark deals
 * The `HEAD` most used n-grams go to every task, a bound on what is sent. The rest stay
   dealt out: each different word asks once for those that a bit filter lets through, and the
   join's sums by word are added to its documents. Every different word of a batch is scored once.
-* A document goes whose perplexity is above the `QUANTILE` of the tenth held back, in its
-  language; a language without such documents takes the quantile of all, and without any
-  trusted text nothing is judged. Texts without words go.
+* Trusted documents are scored in `FOLDS` folds by id hash, each under a model of the others;
+  all other documents under the model of all folds.
+* A document goes whose perplexity is above the `QUANTILE` of the trusted rows of its language.
+  A language with too few trusted rows for that quantile (200 at 99.5 %) takes their largest
+  perplexity with a margin of `MARGIN` standard deviations of its logarithm; one with fewer
+  than `FEW`, or none, is not judged. Texts without words go.
 
 Ties: rows that repeat an id and text score alike. Nulls: a null text has no words, a null
 lang is a language of its own, a null doc_id or label is never trusted, labels of one id are
@@ -27,6 +30,7 @@ averaged. An empty table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +41,9 @@ from millrace.llm.frames import bytes_of, hash_words, mixed, slices, words_of, w
 
 ORDER = 5
 QUANTILE = 0.995
+FOLDS = 2
+FEW = 8
+MARGIN = 2.0
 HEAD = 1 << 20
 FILTER_BITS = 1 << 26
 SLICE_BYTES = 16 << 20
@@ -274,20 +281,30 @@ def score(docs: DataFrame, table: DataFrame, order: int = ORDER, head_size: int
 def judge(docs: DataFrame, labels: DataFrame, order: int = ORDER, quantile: float = QUANTILE, head_size: int = HEAD) -> DataFrame:
     """doc_id, tie, lang, n_bytes, perplexity, threshold and kept for every row of `docs`."""
     trusted = written(labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy(F.col("doc_id").alias("id"))
-                      .agg(F.avg("quality").alias("quality")).where("quality > 0.5")
-                      .select("id", (F.pmod(F.xxhash64("id"), F.lit(10)) == 0).alias("held_back")), "trusted")
+                      .agg(F.avg("quality").alias("quality")).where("quality > 0.5").select("id"), "trusted")
+    fold = lambda c: F.pmod(F.xxhash64(c), F.lit(FOLDS))
     # the trusted ids grow with the table, so they are never sent whole, on small tables neither
-    own = trusted.where("NOT held_back").hint("merge")
-    train = docs.select("doc_id", "text").join(own, F.col("doc_id") == F.col("id"), "left_semi")
-    table = written(model(written(count(train, order), "counts"), order), "model")
-    perplexity = F.when(F.col("n") > 0, F.exp(-F.col("log_p") / F.col("n")))
-    scored = written(score(docs, table, order, head_size).withColumn("perplexity", perplexity), "scores")
-    held = scored.join(trusted.where("held_back"), F.col("doc_id") == F.col("id"), "left_semi")
-    at = F.percentile_approx("perplexity", quantile, 10_000)
-    by_lang = held.groupBy("lang").agg(at.alias("own")).alias("t")
-    return (scored.alias("s").crossJoin(F.broadcast(held.agg(at.alias("any"))))  # one row
-            .join(by_lang, F.col("s.lang").eqNullSafe(F.col("t.lang")), "left")
-            .withColumn("threshold", F.coalesce("own", "any"))
+    own = trusted.hint("merge")
+    counts = [written(count(docs.select("doc_id", "text").where(fold("doc_id") == f).join(own.where(fold("id") == f), F.col("doc_id") == F.col("id"), "left_semi"), order), "counts")
+              for f in range(FOLDS)]
+
+    def scores(rows: DataFrame, parts: list[DataFrame]) -> DataFrame:
+        all_parts = reduce(DataFrame.unionByName, parts).groupBy("id").agg(F.sum("raw").alias("raw"))
+        table = written(model(written(all_parts, "counts"), order), "model")
+        return written(score(rows, table, order, head_size), "scores")
+
+    under_others = [scores(docs.where(fold("doc_id") == f), [c for g, c in enumerate(counts) if g != f]) for f in range(FOLDS)]
+    held = (reduce(DataFrame.unionByName, under_others).join(own, F.col("doc_id") == F.col("id"), "left_semi")
+            .dropDuplicates(["doc_id", "tie"]).select("doc_id", "tie", F.col("log_p").alias("held_p"))).hint("merge").alias("h")
+    log_p = F.coalesce("held_p", "log_p")
+    s = scores(docs, counts).alias("s")
+    scored = written(s.join(held, (F.col("s.doc_id") == F.col("h.doc_id")) & (F.col("s.tie") == F.col("h.tie")), "left")
+                     .select("s.doc_id", "s.tie", "s.lang", "n", F.when(F.col("n") > 0, F.exp(-log_p / F.col("n"))).alias("perplexity"), F.col("held_p").isNotNull().alias("trusted")), "judged")
+    most = F.max("perplexity") * F.exp(MARGIN * F.stddev("spread"))
+    by_lang = (scored.where("trusted AND perplexity IS NOT NULL").withColumn("spread", F.log("perplexity")).groupBy("lang")
+               .agg(F.when(F.count("*") >= round(1 / (1 - quantile)), F.percentile_approx("perplexity", quantile, 10_000))
+                    .when(F.count("*") >= FEW, most).alias("threshold")).alias("t"))
+    return (scored.alias("s").join(by_lang, F.col("s.lang").eqNullSafe(F.col("t.lang")), "left")
             .select("s.doc_id", "s.tie", "s.lang", F.col("n").alias("n_bytes"), "perplexity", "threshold",
                     ((F.col("n") > 0) & F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True))).alias("kept")))
 

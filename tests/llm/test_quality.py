@@ -108,3 +108,18 @@ def test_judges_by_language(spark):
     assert len(ids & set(range(400))) >= 385 and not ids & {2000, *range(1000, 1020)} and None in ids
     assert Q.judge(frame.limit(0), labels).count() == 0
     assert Q.judge(frame, labels.limit(0)).where("kept").count() == len(docs) - 1
+
+
+def test_clean_texts_of_small_languages_stay(spark):
+    """12 trusted rows in one language, one in another and none in a third; bad texts of the first still go."""
+    pick = random.Random(3)
+    say = {"x": "the of and ing ed ly".split(), "y": "que les des une ent".split(), "z": "wok zug kopf jahr".split(), "w": "ñam çok búl".split()}
+    text = lambda lang: " ".join("".join(pick.choices(say[lang], k=pick.randint(1, 3))) for _ in range(pick.choice([8, 60])))
+    docs = [(1000 * k + i, text(lang), lang, "a", "b") for k, lang in enumerate("xyzw") for i in range(240 if lang == "x" else 60)]
+    docs += [(9000 + i, "#$%^ qqzx 9999 " * 20, "xy"[i % 2], "a", "b") for i in range(10)]
+    labels = spark.createDataFrame([(i, 1, 0) for i in [*range(220), *range(1000, 1012), 2000]], "doc_id bigint, quality int, toxic int")
+    out = Q.judge(spark.createDataFrame(docs, DOCS), labels).collect()
+    gone = {r.doc_id for r in out if not r.kept}
+    assert len(out) == len(docs) and set(range(9000, 9010)) <= gone
+    assert not {i for i in gone if 1000 <= i < 9000} and len(gone) <= 16
+    assert {r.lang: r.threshold is not None for r in out} == {"x": True, "y": True, "z": False, "w": False}
