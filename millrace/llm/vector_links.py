@@ -7,6 +7,8 @@
   of each. Within a list, vectors meet that share a second pivot of it, so a pair needs two
   shared pivots; it is looked at in the list of its smallest shared pivot only, under the
   second smallest. Pairs are verified by the cosine in double precision.
+* Where all of the sample is closer than `APART` to one pivot, that is the only one: all
+  classes are in its list, and every pair of them is looked at.
 * A list longer than `BLOCK` is cut in blocks, and pairs of blocks go to tasks of their own.
   No pair leaves a task: it returns sums of links and the edges of a spanning forest.
 
@@ -105,7 +107,7 @@ def linked_pairs(pivot: int, x: np.ndarray, nearest: np.ndarray, left: np.ndarra
     key, row = nearest.ravel(), np.repeat(np.arange(len(x)), nearest.shape[1])
     order = np.argsort(key, kind="stable")
     for mine in np.split(order, np.flatnonzero(np.diff(key[order])) + 1):
-        if not len(mine) or key[mine[0]] == pivot:  # all of the list share that one
+        if not len(mine) or key[mine[0]] == pivot and nearest.shape[1] > 1:  # all of the list share that one
             continue
         mine = row[mine]
         a, b = (mine[left[mine]], mine[~left[mine]]) if across else (mine, mine)
@@ -119,7 +121,7 @@ def linked_pairs(pivot: int, x: np.ndarray, nearest: np.ndarray, left: np.ndarra
     same = (nearest[i][:, :, None] == nearest[j][:, None, :]).any(axis=2)
     smallest = np.where(same, nearest[i], np.iinfo(np.int32).max).min(axis=1) if len(i) else np.zeros(0)
     cosine = np.einsum("ij,ij->i", x[i], x[j]) / np.sqrt(np.einsum("ij,ij->i", x[i], x[i]) * np.einsum("ij,ij->i", x[j], x[j]))
-    keep = (same.sum(axis=1) >= 2) & (smallest == pivot) & (cosine >= least)
+    keep = (same.sum(axis=1) >= min(2, nearest.shape[1])) & (smallest == pivot) & (cosine >= least)
     return i[keep], j[keep]
 
 
@@ -168,7 +170,7 @@ def link(vectors: DataFrame, least: float = LEAST, block: int = BLOCK) -> DataFr
     dim = longest // 8
     pivots = choose_pivots(_unit(_matrix(list(sample["vector"]), dim)), wanted)
     ids = rows.select("vec_id", F.when(_valid("embedding"), _tie("embedding")).alias("tie"), F.coalesce("vec_id", F.lit(-2**63)).alias("node"))
-    if len(pivots) < 2:
+    if not len(pivots):
         return _alone(ids, classes)
     found = written(links(described(classes, pivots), dim, least, block), "links")
     edges = found.select(F.col("rep").alias("a"), F.col("root_rep").alias("b"))
@@ -189,7 +191,7 @@ def link(vectors: DataFrame, least: float = LEAST, block: int = BLOCK) -> DataFr
 
 
 def _alone(ids: DataFrame, classes: DataFrame) -> DataFrame:
-    """Too few different vectors for pivots: only equal ones link."""
+    """No vector that counts: nothing links."""
     c = classes.alias("c")
     smallest = F.coalesce("c.rep", "i.node")
     smallest = F.when(smallest > -2**63, smallest)

@@ -69,3 +69,15 @@ def test_components(spark):
             low[a] = low[b] = min(low[a], low[b])
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     assert all(got.get(x, x) == r for x, r in low.items())
+
+
+def test_one_pivot(spark):
+    """Vectors in a cone leave one pivot; their near pairs link as well."""
+    rows = [(1, [1.0, 0.0]), (2, [0.99, 0.05])]
+    assert run(spark, rows) == brute(rows)
+    pick = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in pick.normal(size=8) * 0.35 + 1.5]) for i in range(150)]
+    rows += [(200, rows[0][1]), (None, rows[1][1])]
+    want = brute(rows)
+    assert 0 < sum(r[1] for r in want) < len(rows) * (len(rows) - 1)
+    assert run(spark, rows, block=64) == want
