@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.llm import exact_dedup, id_files, mixing, packing, perspectives, pii, quality, toxicity, vector_links, weighted_minhash
+from millrace.llm import exact_dedup, id_files, mixing, packing, perspectives, pii, quality, spelling, toxicity, vector_links, weighted_minhash
 from millrace.llm.registry import query, table
 
 
@@ -77,3 +77,8 @@ def op7(spark, folder):
 @query("op8_weighted_minhash")
 def op8(spark, folder):
     return weighted_minhash.near_dedup(table(spark, folder, "documents"))
+
+
+@query("op11_spelling_variants", spelling.SQL)
+def op11(spark, folder):
+    return spelling.spelling_variants(table(spark, folder, "documents"))
