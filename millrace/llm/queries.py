@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from millrace.llm import exact_dedup, id_files, mixing, packing, perspectives, pii, quality, spelling, toxicity, vector_links, weighted_minhash
+from millrace.llm import (
+    exact_dedup, id_files, mixing, multi_index, packing, perspectives, pii, quality, spelling, toxicity, url_filter, vector_links, weighted_minhash)
 from millrace.llm.registry import query, table
 
 
@@ -82,3 +83,13 @@ def op8(spark, folder):
 @query("op11_spelling_variants", spelling.SQL)
 def op11(spark, folder):
     return spelling.spelling_variants(table(spark, folder, "documents"))
+
+
+@query("op12_url_filter")
+def op12(spark, folder):
+    return url_filter.judge(table(spark, folder, "pages").select("page_id", "url"))
+
+
+@query("op13_hard_negatives", multi_index.SQL)
+def op13(spark, folder):
+    return multi_index.mined(table(spark, folder, "embeddings"))
