@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.frames import slices, whole, written
+from millrace.llm.frames import one_of_each, slices, whole, written
 
 CHUNK_BYTES = 1 << 16   # the sum below stays under 2**63 for chunks up to this size
 HUGE_BYTES = 8 << 20    # texts over this many bytes are hashed by several tasks
@@ -223,4 +223,4 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
     if groups.where("kept").isEmpty():
         return left
     again, l = groups.where("kept").alias("g"), left.alias("d")
-    return l.join(again, match, "left_anti").unionByName(l.join(again, match, "left_semi").dropDuplicates(["doc_id", "text"]))
+    return l.join(again, match, "left_anti").unionByName(one_of_each(l.join(again, match, "left_semi")))

@@ -10,6 +10,7 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from millrace.sources.scratch import scratch
 
@@ -25,6 +26,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """One row of each doc_id and text, a null text being empty, with all columns, whatever their names."""
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    text = F.sha2(F.coalesce(F.col("row.text"), F.lit("")), 256)
+    return row.select("row", F.col("row.doc_id").alias("id"), text.alias("sha")).dropDuplicates(["id", "sha"]).select("row.*")
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The rows of all batches again, in pieces whose `column` has about `most` bytes, one row at least.
 

@@ -12,7 +12,7 @@ of each (source, range); the sums tell in which range the budget ends; only that
 documents are sorted, the ranges before it are taken whole. No task sorts a source.
 
 Nulls and ties: a null text has size 0; a null source is a source of its own; a null doc_id
-draws as the text 'null'. Rows of equal key and id are taken in order of their size; rows
+draws as the text 'null:' and its size. Rows of equal key and id are taken in order of their size; rows
 that repeat in all of these are interchangeable. Weights must be above zero. An empty table
 gives no rows; further columns are kept by `mix` and never read.
 """
@@ -72,7 +72,8 @@ def taken(rows: DataFrame, quality: str = "quality", cuts: int = CUTS, **options
 
     `rows` is read three times, so give it written.
     """
-    key = -F.log(uniform(F.col("doc_id"))) / F.col(quality)
+    # rows without an id draw by their size, so that they don't all draw the same
+    key = -F.log(uniform(F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("null:"), F.col("size"))))) / F.col(quality)
     keyed = (rows.withColumn("key", key)
              .withColumn("range", F.floor((1 - F.exp(-F.col("key"))) * cuts).cast("bigint")))
     ranges = keyed.groupBy("source", "range").agg(F.sum("size").alias("range_size"))
@@ -123,15 +124,16 @@ def mix(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     draws = (taken(rows, **options).groupBy("doc_id", "source", "size")
              .agg(F.sum("copies").alias("copies"), F.count("*").alias("n")))
     whole = written(draws.where("copies <> n OR n > 1"), "copies")
-    d, c = docs.alias("d"), whole.alias("c")
-    match = (F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")) & F.col("d.source").eqNullSafe(F.col("c.source"))
-             & (words("d.text") == F.col("c.size")))
-    joined = d.join(c, match, "left").select("d.*", F.col("c.copies").alias("_copies"), F.col("c.n").alias("_n"))
-    once = joined.where("_n IS NULL OR _n = 1").withColumn("_copies", F.coalesce("_copies", F.lit(1)))
+    # the row as one value: its columns may have any names
+    d, c = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")).alias("d"), whole.alias("c")
+    match = (F.col("d.row.doc_id").eqNullSafe(F.col("c.doc_id")) & F.col("d.row.source").eqNullSafe(F.col("c.source"))
+             & (words("d.row.text") == F.col("c.size")))
+    joined = d.join(c, match, "left").select("d.row", "c.copies", "c.n")
+    once = joined.where("n IS NULL OR n = 1").withColumn("copies", F.coalesce("copies", F.lit(1)))
     out = once
     if not whole.where("n > 1").isEmpty():
-        nth = F.row_number().over(Window.partitionBy("doc_id", "source", words("text")).orderBy("text"))
-        share = F.floor(F.col("_copies") / F.col("_n")) + (nth <= F.col("_copies") % F.col("_n")).cast("bigint")
-        out = once.unionByName(joined.where("_n > 1").withColumn("_copies", share))
-    copies = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies").cast("bigint")))
-    return out.where("_copies > 0").withColumn("_copy", copies).select(*[F.col(f"`{c}`") for c in docs.columns])
+        nth = F.row_number().over(Window.partitionBy("row.doc_id", "row.source", words("row.text")).orderBy("row.text"))
+        share = F.floor(F.col("copies") / F.col("n")) + (nth <= F.col("copies") % F.col("n")).cast("bigint")
+        out = once.unionByName(joined.where("n > 1").withColumn("copies", share))
+    copies = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies").cast("bigint")))
+    return out.where("copies > 0").withColumn("copy", copies).select("row.*")

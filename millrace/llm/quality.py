@@ -3,24 +3,26 @@
 The model predicts the UTF-8 bytes of words, from a blank before to the blank behind, each
 from up to `ORDER` - 1 bytes before it in the word. An n-gram is one number: its bytes, first
 byte highest, under a leading one. So the context is `id >> 8`, the shorter n-gram a mask
-away, and all counts are sums, groups and equi-joins on numbers that Spark deals out.
-
-* Training text: documents labelled good. Longest n-grams
-  are counted; a shorter one counts the different bytes before it, but one that begins a
-  word has no byte before it and keeps its own count. Each order has three discounts.
+away, and all counts are sums, groups and equi-joins on numbers that Spark deals out. At this
+order most words are n-grams of their own, so the model grows with the vocabulary.
+
+* Training text: documents labelled good, dealt in `FOLDS` folds by id hash. Model `m` is of
+  all folds but `m` and scores the documents of fold `m`, so no document is scored by a model
+  that has seen it, trusted or not. All models are built together, by (m, n-gram).
+* Longest n-grams are counted; a shorter one counts the different bytes before it, but one that
+  begins a word has no byte before it and keeps its own count. Each order has three discounts.
 * Score of a byte at a place: with `p_k` the interpolated chance at order k and `g` the
   weight that a context leaves to shorter ones, `log p_K = log 1/256 + sum over k of
   log g(context_k) + sum over seen k of d(gram_k)`, where `d = log p_k - log g - log p_(k-1)`.
   So a document's score is a sum over its n-grams, each with two numbers of its own.
-* The `HEAD` most used n-grams go to every task, a bound on what is sent. The rest stay
-  dealt out: each different word asks once for those that a bit filter lets through, and the
-  join's sums by word are added to its documents. Every different word of a batch is scored once.
-* Trusted documents are scored in `FOLDS` folds by id hash, each under a model of the others;
-  all other documents under the model of all folds.
-* A document goes whose perplexity is above the `QUANTILE` of the trusted rows of its language.
-  A language with too few trusted rows for that quantile (200 at 99.5 %) takes their largest
-  perplexity with a margin of `MARGIN` standard deviations of its logarithm; one with fewer
-  than `FEW`, or none, is not judged. Texts without words go.
+* The `HEAD` most used n-grams of a model go to every task, a bound on what is sent. The rest
+  stay dealt out: a batch asks once for each n-gram of a different word that a bit filter lets
+  through, and the join's sums by word are added to its documents. Texts are read once for it.
+* A document goes whose log perplexity is above its language's threshold: the median of the
+  language's n trusted rows, plus their `QUANTILE` of what is above the median, drawn by
+  `n / (n + DRAW)` to that of all languages, plus `MARGIN` standard deviations of all over the
+  root of n. So a language of few trusted rows is judged mildly and one of none not at all,
+  by one rule at every size. Texts without words go.
 
 Ties: rows that repeat an id and text score alike. Nulls: a null text has no words, a null
 lang is a language of its own, a null doc_id or label is never trusted, labels of one id are
@@ -30,21 +32,21 @@ averaged. An empty table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.frames import bytes_of, hash_words, mixed, slices, words_of, written
 
-ORDER = 5
+ORDER = 7       # as many bytes as an id holds
 QUANTILE = 0.995
 FOLDS = 2
-FEW = 8
+DRAW = 100.0
 MARGIN = 2.0
-HEAD = 1 << 20
+HEAD = 1 << 18
 FILTER_BITS = 1 << 26
 SLICE_BYTES = 16 << 20
 WORDS = 1 << 15  # different words looked at together, so that the arrays between stay small
@@ -92,61 +94,77 @@ def longest(words: pa.Array, times: np.ndarray, order: int) -> tuple[np.ndarray,
 
 
 def count(texts: DataFrame, order: int) -> DataFrame:
-    """(id, raw): longest n-grams of all texts with their counts."""
+    """(m, id, raw): longest n-grams of the texts of each `m`, with their counts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", SLICE_BYTES):
-            codes, _, words = words_of(batch["text"])
-            ids, n = longest(words, np.bincount(codes, minlength=len(words)), order)
-            yield pa.RecordBatch.from_arrays([pa.array(ids.astype(np.int64)), pa.array(n)], ["id", "raw"])
+            for m, part in parted(batch):
+                codes, _, words = words_of(part["text"])
+                times = np.bincount(codes, minlength=len(words))
+                ids, n = longest(words.filter(pa.array(times > 0)), times[times > 0], order)  # white space at an end leaves an empty one
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), m)), pa.array(ids.astype(np.int64)), pa.array(n)], ["m", "id", "raw"])
+
+    return texts.select("text", "m").mapInArrow(run, "m bigint, id bigint, raw bigint").groupBy("m", "id").agg(F.sum("raw").alias("raw"))
+
 
-    return texts.select("text").mapInArrow(run, "id bigint, raw bigint").groupBy("id").agg(F.sum("raw").alias("raw"))
+def parted(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """The rows of each `m` of a batch."""
+    own = batch["m"].to_numpy()
+    for m in np.unique(own):
+        yield int(m), batch.filter(pa.array(own == m))
 
 
 def model(counts: DataFrame, order: int = ORDER) -> DataFrame:
-    """(id, uses, delta, log_gamma) for every n-gram, from counts of the longest ones; id 1 is the empty context."""
+    """(m, id, uses, delta, log_gamma) for every n-gram of every model, from counts (m, id, raw) of the longest ones; id 1 is the empty context."""
     one = lambda k: F.lit(1 << (8 * k))
     # n-grams of k bytes have their leading one at bit 8 * k
-    of_order = lambda k: (F.col("id") >= one(k)) & (F.col("id") < one(k + 1))
-    level = {order: counts.where(of_order(order)).select("id", "raw", F.col("raw").alias("n"))}
+    of_order = lambda k: F.shiftright("id", 8 * k) == 1
+    level = {order: counts.where(of_order(order)).select("m", "id", "raw", F.col("raw").alias("n"))}
     for k in range(order - 1, 0, -1):
-        shorter = (level[k + 1].select((F.col("id").bitwiseAND(F.lit((1 << (8 * k)) - 1)).bitwiseOR(one(k))).alias("id"), "raw")
-                   .groupBy("id").agg(F.sum("raw").alias("raw"), F.count("*").alias("n")))
-        begins = counts.where(of_order(k)).select("id", "raw", F.col("raw").alias("n"))
+        shorter = (level[k + 1].select("m", (F.col("id").bitwiseAND(F.lit((1 << (8 * k)) - 1)).bitwiseOR(one(k))).alias("id"), "raw")
+                   .groupBy("m", "id").agg(F.sum("raw").alias("raw"), F.count("*").alias("n")))
+        begins = counts.where(of_order(k)).select("m", "id", "raw", F.col("raw").alias("n"))
         level[k] = written(shorter.unionByName(begins), f"grams{k}")
     out, below = None, None
     for k in range(1, order + 1):
         rows = level[k]
-        n1, n2, n3, n4 = rows.agg(*[F.count_if(F.col("n") == i) for i in (1, 2, 3, 4)]).first()
-        y = n1 / (n1 + 2 * n2) if n1 else 0.0
-        raw = [i - (i + 1) * y * b / a if a and b else 0.5 for i, a, b in ((1, n1, n2), (2, n2, n3), (3, n3, n4))]
-        discounts = [min(max(d, 0.1), i - 0.1) for i, d in enumerate(raw, 1)]
-        taken = F.when(F.col("n") == 1, discounts[0]).when(F.col("n") == 2, discounts[1]).otherwise(discounts[2])
+        taken = _discount(rows)
         rows = rows.withColumn("context", F.shiftright("id", 8)).withColumn("taken", taken)
-        contexts = rows.groupBy("context").agg(F.sum("n").alias("total"), (F.sum("taken") / F.sum("n")).alias("gamma"))
-        rows = rows.join(contexts, "context")
+        contexts = rows.groupBy("m", "context").agg(F.sum("n").alias("total"), (F.sum("taken") / F.sum("n")).alias("gamma"))
+        rows = rows.join(contexts, ["m", "context"])
         own = (F.col("n") - F.col("taken")) / F.col("total")
         if below is None:
             rows = rows.withColumn("lower", F.lit(1 / 256))
         else:
             shorter_id = F.col("id").bitwiseAND(F.lit((1 << (8 * (k - 1))) - 1)).bitwiseOR(one(k - 1))
-            rows = rows.withColumn("shorter", shorter_id).join(below, "shorter")
-        rows = written(rows.select("id", F.col("raw").alias("uses"), (own + F.col("gamma") * F.col("lower")).alias("p"), "context", "gamma", "lower"), f"chances{k}")
-        below = rows.select(F.col("id").alias("shorter"), F.col("p").alias("lower"))
-        deltas = rows.select("id", "uses", (F.log("p") - F.log("gamma") - F.log("lower")).alias("delta"))
-        gammas = rows.select(F.col("context").alias("id"), F.log("gamma").alias("log_gamma")).distinct()
+            rows = rows.withColumn("shorter", shorter_id).join(below, ["m", "shorter"])
+        rows = written(rows.select("m", "id", F.col("raw").alias("uses"), (own + F.col("gamma") * F.col("lower")).alias("p"), "context", "gamma", "lower"), f"chances{k}")
+        below = rows.select("m", F.col("id").alias("shorter"), F.col("p").alias("lower"))
+        deltas = rows.select("m", "id", "uses", (F.log("p") - F.log("gamma") - F.log("lower")).alias("delta"))
+        gammas = rows.select("m", F.col("context").alias("id"), F.log("gamma").alias("log_gamma")).distinct()
         out = deltas if out is None else out.unionByName(deltas)
         left = gammas if k == 1 else left.unionByName(gammas)
-    return (out.join(left.groupBy("id").agg(F.first("log_gamma").alias("log_gamma")), "id", "full")
-            .select("id", F.coalesce("uses", F.lit(1 << 62)).alias("uses"), F.coalesce("delta", F.lit(0.0)).alias("delta"),
-                    F.coalesce("log_gamma", F.lit(0.0)).alias("log_gamma")))
+    return (out.join(left.groupBy("m", "id").agg(F.first("log_gamma").alias("log_gamma")), ["m", "id"], "full")
+            .select("m", "id", F.coalesce("uses", F.lit(1 << 62)).alias("uses"), F.coalesce("delta", F.lit(0.0)).cast("float").alias("delta"),
+                    F.coalesce("log_gamma", F.lit(0.0)).cast("float").alias("log_gamma")))
+
+
+def _discount(rows: DataFrame) -> Column:
+    """What is taken of a count, by model: three discounts from how many n-grams of an order have each of the counts 1 to 4."""
+    out = F.lit(None).cast("double")
+    for r in rows.groupBy("m").agg(*[F.count_if(F.col("n") == i).alias(f"n{i}") for i in (1, 2, 3, 4)]).collect():  # one row per model
+        y = r.n1 / (r.n1 + 2 * r.n2) if r.n1 else 0.0
+        raw = [i - (i + 1) * y * b / a if a and b else 0.5 for i, a, b in ((1, r.n1, r.n2), (2, r.n2, r.n3), (3, r.n3, r.n4))]
+        d = [min(max(x, 0.1), i - 0.1) for i, x in enumerate(raw, 1)]
+        out = F.when(F.col("m") == r.m, F.when(F.col("n") == 1, d[0]).when(F.col("n") == 2, d[1]).otherwise(d[2])).otherwise(out)
+    return out
 
 
 class Head:
-    """Sorted ids with their two numbers, and the bits of the ids that stay dealt out."""
+    """Sorted ids of a model with their two numbers, and the bits of the ids that stay dealt out."""
 
-    def __init__(self, ids: np.ndarray, delta: np.ndarray, log_gamma: np.ndarray, bits: np.ndarray | None):
+    def __init__(self, m: int, ids: np.ndarray, delta: np.ndarray, log_gamma: np.ndarray, bits: np.ndarray):
         order = np.argsort(ids)
-        self.ids, self.delta, self.log_gamma, self.bits = ids[order], delta[order], log_gamma[order], bits
+        self.m, self.ids, self.delta, self.log_gamma, self.bits = m, ids[order], delta[order], log_gamma[order], bits
         self.empty = float(self.log_gamma[0]) if len(ids) and self.ids[0] == 1 else 0.0
 
     def find(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -154,159 +172,170 @@ class Head:
         seen, back = np.unique(ids, return_inverse=True)
         place = np.minimum(np.searchsorted(self.ids, seen), len(self.ids) - 1)
         here = self.ids[place] == seen
-        ask = np.zeros(len(seen), dtype=bool)
-        if self.bits is not None:
-            ask = ~here & (seen > 0)
-            for n in (0, 1):
-                bit = bit_of(seen, n)
-                ask &= (self.bits[bit >> np.uint64(6)] >> (bit & np.uint64(63)) & np.uint64(1)).astype(bool)
+        ask = ~here & (seen > 0)
+        for n in (0, 1):
+            left = np.flatnonzero(ask)
+            bit = bit_of(seen[left], self.m, n)
+            ask[left] = (self.bits[bit >> np.uint64(6)] >> (bit & np.uint64(63)) & np.uint64(1)).astype(bool)
         return np.where(here, self.delta[place], 0.0)[back], np.where(here, self.log_gamma[place], 0.0)[back], ask[back]
 
 
-def bit_of(ids: np.ndarray, n: int) -> np.ndarray:
-    return mixed(ids + np.uint64(n + 1) * np.uint64(0x9E3779B97F4A7C15)) & np.uint64(FILTER_BITS - 1)
+def bit_of(ids: np.ndarray, m: int | np.ndarray, n: int) -> np.ndarray:
+    step = np.atleast_1d(2 * np.asarray(m, dtype=np.uint64) + np.uint64(n + 1)) * np.uint64(0x9E3779B97F4A7C15)
+    return mixed(ids + step) & np.uint64(FILTER_BITS - 1)
 
 
 def _bits(tail: DataFrame) -> np.ndarray:
-    """The bit filter of the dealt-out ids: FILTER_BITS bits, whatever their number."""
+    """The bit filter of the dealt-out ids of all models: FILTER_BITS bits, whatever their number."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch["id"].to_numpy().astype(np.uint64)
-            bits = np.unique(np.concatenate([bit_of(ids, 0), bit_of(ids, 1)]))
+            ids, m = batch["id"].to_numpy().astype(np.uint64), batch["m"].to_numpy()
+            bits = np.unique(np.concatenate([bit_of(ids, m, 0), bit_of(ids, m, 1)]))
             yield pa.RecordBatch.from_arrays([pa.array((bits >> np.uint64(6)).astype(np.int64)), pa.array((bits & np.uint64(63)).astype(np.int32))], ["at", "bit"])
 
-    words = (tail.select("id").mapInArrow(run, "at bigint, bit int")
+    words = (tail.select("id", "m").mapInArrow(run, "at bigint, bit int")
              .groupBy("at").agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("bit"))).alias("word")).toPandas())
     out = np.zeros(FILTER_BITS // 64, dtype=np.uint64)
     out[words["at"].to_numpy()] = words["word"].to_numpy().astype(np.int64).view(np.uint64)
     return out
 
 
+def heads(table: DataFrame, head_size: int) -> tuple[dict[int, Head], DataFrame]:
+    """The most used n-grams of each model, and the others, dealt out."""
+    models = sorted(r.m for r in table.select("m").distinct().collect())  # FOLDS of them
+    tops = [table.where(F.col("m") == m).orderBy(F.desc("uses"), "id").limit(head_size) for m in models]
+    sent = table.limit(0)
+    for top in tops:
+        sent = sent.unionByName(top)
+    sent = written(sent, "head")
+    tail = written(table.join(sent.select("m", "id"), ["m", "id"], "left_anti"), "tail")
+    bits, out = _bits(tail), {}
+    for m in models:
+        rows = sent.where(F.col("m") == m).select("id", "delta", "log_gamma").toPandas()
+        out[m] = Head(m, rows["id"].to_numpy(dtype=np.int64).astype(np.uint64), rows["delta"].to_numpy(np.float32), rows["log_gamma"].to_numpy(np.float32), bits)
+    return out, tail
+
+
+_SCORED = "row bigint, doc_id {kind}, tie bigint, lang string, m bigint, n bigint, log_p double, uses array<struct<word:bigint,other:bigint,times:bigint>>, " \
+          "word bigint, other bigint, id bigint, predicted bigint, context bigint"
+
+
 def score(docs: DataFrame, table: DataFrame, order: int = ORDER, head_size: int = HEAD) -> DataFrame:
-    """doc_id, tie (hash of the text), lang, n (predicted bytes) and log_p, for every row of `docs`."""
-    top = table.orderBy(F.desc("uses"), "id").limit(head_size)
-    tail = table.join(written(top.select("id"), "head"), "id", "left_anti") if table.count() > head_size else None
-    rows = top.select("id", F.col("delta").cast("float").alias("delta"), F.col("log_gamma").cast("float").alias("log_gamma")).toPandas()
-    if not len(rows):
-        rows = rows.reindex([0]).assign(id=1, delta=0.0, log_gamma=0.0)
-    if tail is not None:
-        tail = written(tail, "tail")
-    head = docs.sparkSession.sparkContext.broadcast(Head(
-        rows["id"].to_numpy(dtype=np.int64).astype(np.uint64), rows["delta"].to_numpy(np.float32), rows["log_gamma"].to_numpy(np.float32), None if tail is None else _bits(tail)))
-    base = docs.select("doc_id", "lang", "text", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("tie"))
-    kind = docs.schema["doc_id"].dataType.simpleString()
-
-    def of_words(words: pa.Array) -> tuple[np.ndarray, np.ndarray, list]:
-        """(log chance, predicted bytes) by word, and what is asked of the dealt-out n-grams."""
-        values, sizes, asks = [np.zeros(0)], [np.zeros(0, np.int64)], []
+    """doc_id, tie (hash of the text), lang, n (predicted bytes) and log_p under model `m`, for every row of `docs`."""
+    own, tail = heads(table, head_size)
+    none = np.zeros(FILTER_BITS // 64, dtype=np.uint64)
+    for m in range(FOLDS):  # a fold that no model was made for scores each byte by chance
+        own.setdefault(m, Head(m, np.array([1], np.uint64), np.zeros(1, np.float32), np.zeros(1, np.float32), none))
+    shared = docs.sparkSession.sparkContext.broadcast(own)
+    base = docs.select("doc_id", "lang", "text", F.col("m").cast("bigint").alias("m"), F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("tie"))
+    schema = _SCORED.format(kind=docs.schema["doc_id"].dataType.simpleString())
+
+    def of_words(head: Head, words: pa.Array) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+        """(log chance, predicted bytes) by word, and what is asked of the dealt-out n-grams: id, word, times predicted, times context."""
+        values, sizes, asks = [np.zeros(0)], [np.zeros(0, np.int64)], [[np.zeros(0, np.int64)] * 4]
         for at in range(0, len(words), WORDS):
-            value, n, more = of_some(words.slice(at, WORDS))
+            value, n, (ids, word, predicted, context) = of_some(head, words.slice(at, WORDS))
             values.append(value)
             sizes.append(n)
-            asks += [(ids, word + at, predicted, context) for ids, word, predicted, context in more]
-        return np.concatenate(values), np.concatenate(sizes), asks
+            asks.append((ids, word + at, predicted, context))
+        return np.concatenate(values), np.concatenate(sizes), [np.concatenate(x) for x in zip(*asks)]
 
-    def of_some(words: pa.Array) -> tuple[np.ndarray, np.ndarray, list]:
+    def of_some(head: Head, words: pa.Array) -> tuple[np.ndarray, np.ndarray, tuple]:
         ids, word, place = grams(words, order)
-        value, asks = np.full(len(word), np.log(1 / 256) + head.value.empty), []
-        carried = None
+        value, asks = np.full(len(word), np.log(1 / 256) + head.empty), [(np.zeros(0, np.uint64), *[np.zeros(0, np.int64)] * 3)]
+        carried, size = None, np.bincount(word)
         for k in range(1, order + 1):
-            delta, gamma, ask = head.value.find(ids[k - 1])
+            delta, gamma, ask = head.find(ids[k - 1])
             value += delta
             if k > 1:  # the context of order k is the n-gram of order k - 1 that ends one byte before
                 value[1:] += np.where(place[1:] >= k - 1, carried[:-1], 0.0)
-            if ask.any():
-                follows = place + 1 < np.bincount(word)[word]
-                asks.append((ids[k - 1][ask], word[ask], (place > 0)[ask], (follows & (k < order))[ask]))
+            at = np.flatnonzero(ask)
+            follows = (place[at] + 1 < size[word[at]]) & (k < order)
+            asks.append((ids[k - 1][at], word[at], (place[at] > 0).astype(np.int64), follows.astype(np.int64)))
             carried = gamma
         own = place > 0
-        return np.bincount(word[own], value[own], minlength=len(words)), np.bincount(word[own], minlength=len(words)), asks
+        asked, at, predicted, context = (np.concatenate(x) for x in zip(*asks))
+        by = np.lexsort((asked, at))
+        asked, at = asked[by], at[by]
+        first = np.flatnonzero(np.concatenate([[True], (asked[1:] != asked[:-1]) | (at[1:] != at[:-1])])) if len(by) else by
+        sums = [np.add.reduceat(x[by], first) if len(by) else x for x in (predicted, context)]
+        return (np.bincount(word[own], value[own], minlength=len(words)), np.bincount(word[own], minlength=len(words)),
+                (asked[first].astype(np.int64), at[first], *sums))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row = TaskContext.get().partitionId() << 40
         for batch in slices(batches, "text", SLICE_BYTES):
-            codes, at, words = words_of(batch["text"])
-            value, n, _ = of_words(words)
-            total = lambda x: np.diff(np.concatenate([[0], np.cumsum(x[codes])])[at])
-            yield pa.RecordBatch.from_arrays([*(batch[c] for c in ("doc_id", "tie", "lang")), pa.array(total(n).astype(np.int64)), pa.array(total(value))],
-                                             ["doc_id", "tie", "lang", "n", "log_p"])
-
-    def asking(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        """Slices with their words, and of these what they ask, summed by word and n-gram."""
-        for batch in slices(batches, "text", SLICE_BYTES):
-            codes, at, words = words_of(batch["text"])
-            _, _, asks = of_words(words)
-            if not asks:
-                continue
-            ids, word, predicted, context = (np.concatenate(x) for x in zip(*asks))
-            by = np.lexsort((ids, word))
-            ids, word = ids[by], word[by]
-            first = np.flatnonzero(np.concatenate([[True], (ids[1:] != ids[:-1]) | (word[1:] != word[:-1])]))
-            sums = [np.add.reduceat(x[by].astype(np.int64), first) for x in (predicted, context)]
-            mine = np.unique(word)
-            names = [hash_words(words.take(pa.array(mine)), key).astype(np.int64) for key in _WORD_KEYS]
-            yield batch, codes, at, mine, names, np.searchsorted(mine, word[first]), ids[first].astype(np.int64), sums
-
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, _, _, _, names, word, ids, sums in asking(batches):
-            yield pa.RecordBatch.from_arrays([*(pa.array(x[word]) for x in names), pa.array(ids), *map(pa.array, sums)],
-                                             ["word", "other", "id", "predicted", "context"])
-
-    def uses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, codes, at, mine, names, _, _, _ in asking(batches):
-            row = np.repeat(np.arange(len(at) - 1), np.diff(at))
-            place = np.minimum(np.searchsorted(mine, codes), len(mine) - 1)
-            asks = mine[place] == codes
-            pairs, times = np.unique(row[asks] * len(mine) + place[asks], return_counts=True)
-            row, word = pa.array(pairs // len(mine)), pairs % len(mine)
-            yield pa.RecordBatch.from_arrays([batch["doc_id"].take(row), batch["tie"].take(row), *(pa.array(x[word]) for x in names), pa.array(times)],
-                                             ["doc_id", "tie", "word", "other", "times"])
-
-    scored = base.mapInArrow(run, f"doc_id {kind}, tie bigint, lang string, n bigint, log_p double")
-    if tail is None:
-        return scored
-    key = F.struct("doc_id", "tie").alias("key")
-    # the sums of a row, not of all rows that repeat it
-    copies = base.groupBy(key).agg(F.count("*").alias("copies"))
-    # each different word asks once, whatever the number of its documents
-    asked = base.mapInArrow(ask, "word bigint, other bigint, id bigint, predicted bigint, context bigint").distinct()
-    by_word = (asked.join(tail, "id").groupBy("word", "other")
-               .agg(F.sum(F.col("predicted") * F.col("delta") + F.col("context") * F.col("log_gamma")).alias("more")))
-    used = base.mapInArrow(uses, f"doc_id {kind}, tie bigint, word bigint, other bigint, times bigint")
-    more = (used.join(by_word, ["word", "other"]).groupBy(key).agg(F.sum(F.col("times") * F.col("more")).alias("more"))
-            .join(copies, "key").withColumn("more", F.col("more") / F.col("copies")))
-    return (scored.select("*", key).join(more, "key", "left")
-            .select("doc_id", "tie", "lang", "n", (F.col("log_p") + F.coalesce("more", F.lit(0.0))).alias("log_p")))
+            for m, part in parted(batch):
+                codes, at, words = words_of(part["text"])
+                value, n, (ids, word, predicted, context) = of_words(shared.value[m], words)
+                mine = np.unique(word)
+                names = [hash_words(words.take(pa.array(mine)), key).astype(np.int64) for key in _WORD_KEYS]
+                # the words of each row that ask
+                place = np.full(len(words), -1)
+                place[mine] = np.arange(len(mine))
+                asking = np.flatnonzero(place[codes] >= 0)
+                pairs, times = np.unique(np.repeat(np.arange(len(at) - 1), np.diff(at))[asking] * max(len(mine), 1) + place[codes[asking]], return_counts=True)
+                used = pairs % max(len(mine), 1)
+                cut = np.searchsorted(pairs, np.arange(len(at)) * max(len(mine), 1)).astype(np.int32)
+                uses = pa.ListArray.from_arrays(pa.array(cut), pa.StructArray.from_arrays([*(pa.array(x[used]) for x in names), pa.array(times)], ["word", "other", "times"]))
+                total = lambda x: np.diff(np.concatenate([[0], np.cumsum(x[codes])])[at])
+                yield _record(schema_of, row=np.arange(row, row + part.num_rows), doc_id=part["doc_id"], tie=part["tie"], lang=part["lang"], m=part["m"],
+                              n=total(n).astype(np.int64), log_p=total(value), uses=uses)
+                row += part.num_rows
+                mine = np.searchsorted(mine, word)
+                yield _record(schema_of, m=np.full(len(ids), m), word=names[0][mine], other=names[1][mine], id=ids, predicted=predicted, context=context)
+
+    schema_of = docs.sparkSession.createDataFrame([], schema).toArrow().schema
+    found = written(base.mapInArrow(run, schema), "scored")
+    rows = found.where("row IS NOT NULL").select("row", "doc_id", "tie", "lang", "n", "log_p")
+    asked = found.where("row IS NULL").select("m", "word", "other", "id", "predicted", "context").distinct()
+    by_word = (asked.join(tail.hint("merge"), ["m", "id"]).groupBy("m", "word", "other")
+               .agg(F.sum(F.col("predicted") * F.col("delta").cast("double") + F.col("context") * F.col("log_gamma").cast("double")).alias("more")))
+    uses = found.where("row IS NOT NULL").select("row", "m", F.explode("uses").alias("u")).select("row", "m", "u.*")
+    more = uses.join(by_word, ["m", "word", "other"]).groupBy("row").agg(F.sum(F.col("times") * F.col("more")).alias("more"))
+    return rows.join(more, "row", "left").select("doc_id", "tie", "lang", "n", (F.col("log_p") + F.coalesce("more", F.lit(0.0))).alias("log_p"))
+
+
+def _record(schema: pa.Schema, **columns) -> pa.RecordBatch:
+    """A batch of all columns of `schema`; those not given are null."""
+    n = len(next(iter(columns.values())))
+    return pa.RecordBatch.from_arrays([(x if isinstance(x := columns[f.name], pa.Array) else pa.array(x)).cast(f.type) if f.name in columns else pa.nulls(n, f.type) for f in schema],
+                                      names=schema.names)
 
 
 def judge(docs: DataFrame, labels: DataFrame, order: int = ORDER, quantile: float = QUANTILE, head_size: int = HEAD) -> DataFrame:
     """doc_id, tie, lang, n_bytes, perplexity, threshold and kept for every row of `docs`."""
     trusted = written(labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy(F.col("doc_id").alias("id"))
                       .agg(F.avg("quality").alias("quality")).where("quality > 0.5").select("id"), "trusted")
-    fold = lambda c: F.pmod(F.xxhash64(c), F.lit(FOLDS))
+    folded = docs.select("doc_id", "lang", "text", F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)).alias("m"))
     # the trusted ids grow with the table, so they are never sent whole, on small tables neither
     own = trusted.hint("merge")
-    counts = [written(count(docs.select("doc_id", "text").where(fold("doc_id") == f).join(own.where(fold("id") == f), F.col("doc_id") == F.col("id"), "left_semi"), order), "counts")
-              for f in range(FOLDS)]
-
-    def scores(rows: DataFrame, parts: list[DataFrame]) -> DataFrame:
-        all_parts = reduce(DataFrame.unionByName, parts).groupBy("id").agg(F.sum("raw").alias("raw"))
-        table = written(model(written(all_parts, "counts"), order), "model")
-        return written(score(rows, table, order, head_size), "scores")
-
-    under_others = [scores(docs.where(fold("doc_id") == f), [c for g, c in enumerate(counts) if g != f]) for f in range(FOLDS)]
-    held = (reduce(DataFrame.unionByName, under_others).join(own, F.col("doc_id") == F.col("id"), "left_semi")
-            .dropDuplicates(["doc_id", "tie"]).select("doc_id", "tie", F.col("log_p").alias("held_p"))).hint("merge").alias("h")
-    log_p = F.coalesce("held_p", "log_p")
-    s = scores(docs, counts).alias("s")
-    scored = written(s.join(held, (F.col("s.doc_id") == F.col("h.doc_id")) & (F.col("s.tie") == F.col("h.tie")), "left")
-                     .select("s.doc_id", "s.tie", "s.lang", "n", F.when(F.col("n") > 0, F.exp(-log_p / F.col("n"))).alias("perplexity"), F.col("held_p").isNotNull().alias("trusted")), "judged")
-    most = F.max("perplexity") * F.exp(MARGIN * F.stddev("spread"))
-    by_lang = (scored.where("trusted AND perplexity IS NOT NULL").withColumn("spread", F.log("perplexity")).groupBy("lang")
-               .agg(F.when(F.count("*") >= round(1 / (1 - quantile)), F.percentile_approx("perplexity", quantile, 10_000))
-                    .when(F.count("*") >= FEW, most).alias("threshold")).alias("t"))
+    counts = written(count(folded.join(own, F.col("doc_id") == F.col("id"), "left_semi"), order), "counts")
+    others = F.explode(F.array_remove(F.sequence(F.lit(0).cast("bigint"), F.lit(FOLDS - 1).cast("bigint")), F.col("m")))
+    of_models = counts.select(others.alias("m"), "id", "raw").groupBy("m", "id").agg(F.sum("raw").alias("raw"))
+    table = written(model(written(of_models, "counts"), order), "model")
+    s = score(folded, table, order, head_size)
+    known = F.col("id").isNotNull().alias("trusted")
+    x = F.when(F.col("n") > 0, -F.col("log_p") / F.col("n")).alias("x")
+    scored = written(s.join(own, F.col("doc_id") == F.col("id"), "left").select("doc_id", "tie", "lang", "n", x, known), "judged")
+    sure = scored.where("trusted AND x IS NOT NULL")
+    by_lang = thresholds(sure, quantile).alias("t")
+    above = F.col("s.x") > F.col("t.most")
     return (scored.alias("s").join(by_lang, F.col("s.lang").eqNullSafe(F.col("t.lang")), "left")
-            .select("s.doc_id", "s.tie", "s.lang", F.col("n").alias("n_bytes"), "perplexity", "threshold",
-                    ((F.col("n") > 0) & F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True))).alias("kept")))
+            .select("s.doc_id", "s.tie", "s.lang", F.col("n").alias("n_bytes"), F.exp("s.x").alias("perplexity"), F.exp("t.most").alias("threshold"),
+                    ((F.col("n") > 0) & ~F.coalesce(above, F.lit(False))).alias("kept")))
+
+
+def thresholds(rows: DataFrame, quantile: float = QUANTILE) -> DataFrame:
+    """(lang, most): the log perplexity that a language's documents may have, from `rows` (lang, x) of trusted ones."""
+    middle = written(rows.groupBy("lang").agg(F.percentile_approx("x", 0.5, 10_000).alias("middle")), "middles").alias("l")
+    spread = (rows.alias("r").join(middle, F.col("r.lang").eqNullSafe(F.col("l.lang")))
+              .select("l.lang", "middle", (F.col("x") - F.col("middle")).alias("above")))
+    top = F.percentile_approx("above", quantile, 10_000)
+    every = spread.agg(top, F.stddev_pop("above")).first()
+    n = F.count("*")
+    drawn = (n * top + DRAW * (every[0] or 0.0)) / (n + DRAW) + MARGIN * (every[1] or 0.0) / F.sqrt(n)
+    return spread.groupBy("lang", "middle").agg((F.col("middle") + drawn).alias("most")).drop("middle")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:

@@ -20,7 +20,7 @@ def op1(spark, folder):
       SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size FROM documents),
     q AS (SELECT doc_id, pow(2.0, 2 * avg(quality) - 1) AS quality FROM labels WHERE quality IS NOT NULL GROUP BY doc_id),
     k AS (
-      SELECT d.*, -ln((CAST(('0x' || substr(md5('mix-1:' || coalesce(CAST(d.doc_id AS VARCHAR), 'null')), 1, 12)) AS BIGINT) + 0.5) / pow(2.0, 48))
+      SELECT d.*, -ln((CAST(('0x' || substr(md5('mix-1:' || coalesce(CAST(d.doc_id AS VARCHAR), 'null:' || d.size)), 1, 12)) AS BIGINT) + 0.5) / pow(2.0, 48))
              / coalesce(quality, 1.0) AS key
       FROM d LEFT JOIN q ON d.doc_id = q.doc_id),
     s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, 2.0 * sum(size)::DOUBLE AS cap FROM d GROUP BY source),

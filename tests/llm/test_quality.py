@@ -3,10 +3,12 @@ import random
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from millrace.llm import quality as Q
 
 DOCS = "doc_id bigint, text string, lang string, kept string, n string"
+FOLD = "0 AS m"
 
 
 def brute_model(words, order):
@@ -55,43 +57,66 @@ def brute_score(p, text, order):
     return n, total
 
 
-@pytest.mark.parametrize("order,head", [(5, 1 << 20), (3, 1 << 20), (4, 20), (2, 1)])
+@pytest.mark.parametrize("order,head", [(7, 1 << 20), (3, 1 << 20), (7, 20), (2, 1)])
 def test_scores_against_brute_force(spark, order, head):
     pick = random.Random(order)
     text = lambda k: " ".join("".join(pick.choices("abcdeé", k=pick.randint(1, 6))) for _ in range(k))
     train = [text(pick.randint(1, 30)) for _ in range(40)] + ["a", "bb"]
     rows = [*enumerate([*train, text(9), "zzz xyz", "", None, " \n", "漢字 " * 50, "e" * 3000]), (3, "twice b"), (3, "twice b"), (None, "ab")]
-    table = Q.model(Q.count(spark.createDataFrame([(t,) for t in train], "text string"), order), order)
+    table = Q.model(Q.count(spark.createDataFrame([(t,) for t in train], "text string").selectExpr("text", FOLD), order), order)
     p = brute_model([w for t in train for w in t.encode().split()], order)
-    docs = spark.createDataFrame([(i, t, "l", "x", "y") for i, t in rows], DOCS)
+    docs = spark.createDataFrame([(i, t, "l", "x", "y") for i, t in rows], DOCS).selectExpr("*", FOLD)
     got = sorted(((r.doc_id if r.doc_id is not None else -1, r.n, r.log_p) for r in Q.score(docs, table, order, head).collect()))
     want = sorted((i if i is not None else -1, *brute_score(p, t, order)) for i, t in rows)
     assert [g[:2] for g in got] == [w[:2] for w in want]
     assert all(math.isclose(g[2], w[2], rel_tol=1e-6, abs_tol=1e-6) for g, w in zip(got, want))
 
 
-def test_five_bytes_are_told_apart(spark):
-    """Both words have only known stretches of four bytes; the fifth byte of "abcde" never follows "abcd"."""
-    train = spark.createDataFrame([("abcdx zbcde",)] * 20, "text string")
+def test_seven_bytes_are_told_apart(spark):
+    """All words have only known stretches of six bytes; the seventh byte of "abcdefg" never follows "abcdef"."""
+    train = spark.createDataFrame([("abcdefx zbcdefg",)] * 20, "text string").selectExpr("text", FOLD)
     table = Q.model(Q.count(train, Q.ORDER))
-    docs = spark.createDataFrame([(1, "abcdx", "l", "x", "y"), (2, "abcde", "l", "x", "y"), (3, "zbcde", "l", "x", "y")], DOCS)
+    docs = spark.createDataFrame([(1, "abcdefx", "l", "x", "y"), (2, "abcdefg", "l", "x", "y"), (3, "zbcdefg", "l", "x", "y")], DOCS).selectExpr("*", FOLD)
     for head in (1 << 20, 1):
         got = {r.doc_id: r.log_p for r in Q.score(docs, table, head_size=head).collect()}
         assert got[2] < min(got[1], got[3]) - 1
 
 
-def test_a_word_asks_once(spark):
-    """The dealt-out n-grams are asked for by word, not by document."""
-    table = Q.model(Q.count(spark.createDataFrame([("abcdx zbcde",)], "text string"), Q.ORDER))
-    sizes = []
-    for n in (2, 200):
-        docs = spark.createDataFrame([(i, "abcdx zbcde abcdx", "l", "x", "y") for i in range(n)], DOCS).repartition(2)
-        got = Q.score(docs, table, head_size=1)
-        assert len({(r.n, round(r.log_p, 6)) for r in got.collect()}) == 1
-        plan = got._jdf.queryExecution().executedPlan()
-        sizes.append(got.count())
-        assert "HashAggregate(keys=[word" in plan.toString()
-    assert sizes == [2, 200]
+def test_the_model_grows_with_the_vocabulary(spark):
+    pick = random.Random(4)
+    words = ["".join(pick.choices("etaoinsrhld", k=8)) for _ in range(2000)]
+    sizes = [Q.model(Q.count(spark.createDataFrame([(" ".join(words[:n]),)], "text string").selectExpr("text", FOLD), Q.ORDER)).count() for n in (500, 2000)]
+    assert sizes[1] > 2 * sizes[0]
+
+
+@pytest.mark.parametrize("head", [1 << 20, 5])
+def test_models_leave_out_their_fold(spark, head):
+    """Model 0 has seen the texts of fold 1 only, and scores fold 0; both are built together."""
+    texts = {0: "aaa bbb aab " * 9, 1: "ccc ddd ccd " * 7}
+    train = spark.createDataFrame([(t, m) for m, t in texts.items()], "text string, m int")
+    counts = Q.count(train, 4).withColumn("m", 1 - F.col("m"))
+    docs = spark.createDataFrame([(m, t, "l", "x", "y", m) for m, t in texts.items()], DOCS + ", m int")
+    got = {r.doc_id: r.log_p for r in Q.score(docs, Q.model(counts, 4), 4, head).collect()}
+    for m in (0, 1):
+        p = brute_model(texts[1 - m].encode().split(), 4)
+        assert math.isclose(got[m], brute_score(p, texts[m], 4)[1], rel_tol=1e-5)
+
+
+def test_thresholds_against_brute_force(spark):
+    pick = random.Random(9)
+    rows = [(lang, pick.gauss(mean, 0.3)) for lang, mean, n in (("a", 1, 900), ("b", 2, 40), (None, 3, 1)) for _ in range(n)]
+    middle, top = {}, lambda xs, q: sorted(xs)[max(math.ceil(q * len(xs)) - 1, 0)]
+    for lang in ("a", "b", None):
+        middle[lang] = top([x for k, x in rows if k == lang], 0.5)
+    above = [x - middle[lang] for lang, x in rows]
+    mean = sum(above) / len(above)
+    sd = math.sqrt(sum((x - mean) ** 2 for x in above) / len(above))
+    want = {}
+    for lang, m in middle.items():
+        xs = [x - m for k, x in rows if k == lang]
+        want[lang] = m + (len(xs) * top(xs, 0.995) + Q.DRAW * top(above, 0.995)) / (len(xs) + Q.DRAW) + Q.MARGIN * sd / math.sqrt(len(xs))
+    got = {r.lang: r.most for r in Q.thresholds(spark.createDataFrame(rows, "lang string, x double")).collect()}
+    assert got.keys() == want.keys() and all(math.isclose(got[k], want[k], rel_tol=1e-9) for k in want)
 
 
 def test_judges_by_language(spark):
@@ -122,4 +147,4 @@ def test_clean_texts_of_small_languages_stay(spark):
     gone = {r.doc_id for r in out if not r.kept}
     assert len(out) == len(docs) and set(range(9000, 9010)) <= gone
     assert not {i for i in gone if 1000 <= i < 9000} and len(gone) <= 16
-    assert {r.lang: r.threshold is not None for r in out} == {"x": True, "y": True, "z": False, "w": False}
+    assert {r.lang: r.threshold is not None for r in out} == {"x": True, "y": True, "z": True, "w": False}
