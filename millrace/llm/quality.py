@@ -93,8 +93,8 @@ def longest(words: pa.Array, times: np.ndarray, order: int) -> tuple[np.ndarray,
     return seen, np.bincount(back, np.concatenate(counts), minlength=len(seen)).astype(np.int64)
 
 
-def count(texts: DataFrame, order: int) -> DataFrame:
-    """(m, id, raw): longest n-grams of the texts of each `m`, with their counts."""
+def count(texts: DataFrame, order: int, others: bool = False) -> DataFrame:
+    """(m, id, raw): longest n-grams of the texts of each `m`, with their counts; with `others`, of all folds but `m`."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", SLICE_BYTES):
             for m, part in parted(batch):
@@ -103,7 +103,11 @@ def count(texts: DataFrame, order: int) -> DataFrame:
                 ids, n = longest(words.filter(pa.array(times > 0)), times[times > 0], order)  # white space at an end leaves an empty one
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), m)), pa.array(ids.astype(np.int64)), pa.array(n)], ["m", "id", "raw"])
 
-    return texts.select("text", "m").mapInArrow(run, "m bigint, id bigint, raw bigint").groupBy("m", "id").agg(F.sum("raw").alias("raw"))
+    rows = texts.select("text", "m").mapInArrow(run, "m bigint, id bigint, raw bigint")
+    if others:
+        folds = F.sequence(F.lit(0).cast("bigint"), F.lit(FOLDS - 1).cast("bigint"))
+        rows = rows.withColumn("m", F.explode(F.array_remove(folds, F.col("m"))))
+    return rows.groupBy("m", "id").agg(F.sum("raw").alias("raw"))
 
 
 def parted(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.RecordBatch]]:
@@ -115,48 +119,46 @@ def parted(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.RecordBatch]]:
 
 def model(counts: DataFrame, order: int = ORDER) -> DataFrame:
     """(m, id, uses, delta, log_gamma) for every n-gram of every model, from counts (m, id, raw) of the longest ones; id 1 is the empty context."""
-    one = lambda k: F.lit(1 << (8 * k))
-    # n-grams of k bytes have their leading one at bit 8 * k
-    of_order = lambda k: F.shiftright("id", 8 * k) == 1
-    level = {order: counts.where(of_order(order)).select("m", "id", "raw", F.col("raw").alias("n"))}
-    for k in range(order - 1, 0, -1):
-        shorter = (level[k + 1].select("m", (F.col("id").bitwiseAND(F.lit((1 << (8 * k)) - 1)).bitwiseOR(one(k))).alias("id"), "raw")
-                   .groupBy("m", "id").agg(F.sum("raw").alias("raw"), F.count("*").alias("n")))
-        begins = counts.where(of_order(k)).select("m", "id", "raw", F.col("raw").alias("n"))
-        level[k] = written(shorter.unionByName(begins), f"grams{k}")
-    out, below = None, None
+    bytes_ = F.floor((F.length(F.conv(F.col("id").cast("string"), 10, 16)) - 1) / 2).cast("int")  # of an id, behind its leading one
+    shorter = lambda k: F.col("id").bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("bigint"), 8 * k) - 1).bitwiseOR(
+        F.call_function("shiftleft", F.lit(1).cast("bigint"), 8 * k))
+    ends = F.explode(F.transform(F.sequence(F.lit(1), bytes_), shorter))
+    types = written(counts.select("m", ends.alias("id"), "raw").groupBy("m", "id").agg(F.sum("raw").alias("raw")).withColumn("k", bytes_), "types")
+    # different bytes before an n-gram; none is before one that begins a word
+    before = types.where("k > 1").select("m", shorter(F.col("k") - 1).alias("id")).groupBy("m", "id").agg(F.count("*").alias("n"))
+    grams = written(types.join(before, ["m", "id"], "left").select("m", "id", "raw", "k", F.when(F.col("k") == order, F.col("raw")).otherwise(F.coalesce("n", "raw")).alias("n")), "grams")
+    grams = grams.withColumn("context", F.shiftright("id", 8)).withColumn("taken", _discount(grams))
+    contexts = written(grams.groupBy("m", "context").agg(F.sum("n").alias("total"), (F.sum("taken") / F.sum("n")).alias("gamma")), "contexts")
+    own = (F.col("n") - F.col("taken")) / F.col("total")
+    parts = written(grams.join(contexts, ["m", "context"]).select("m", "id", "k", "raw", own.alias("own"), "gamma"), "parts")
+    out = None
     for k in range(1, order + 1):
-        rows = level[k]
-        taken = _discount(rows)
-        rows = rows.withColumn("context", F.shiftright("id", 8)).withColumn("taken", taken)
-        contexts = rows.groupBy("m", "context").agg(F.sum("n").alias("total"), (F.sum("taken") / F.sum("n")).alias("gamma"))
-        rows = rows.join(contexts, ["m", "context"])
-        own = (F.col("n") - F.col("taken")) / F.col("total")
-        if below is None:
+        rows = parts.where(F.col("k") == k)
+        if out is None:
             rows = rows.withColumn("lower", F.lit(1 / 256))
         else:
-            shorter_id = F.col("id").bitwiseAND(F.lit((1 << (8 * (k - 1))) - 1)).bitwiseOR(one(k - 1))
-            rows = rows.withColumn("shorter", shorter_id).join(below, ["m", "shorter"])
-        rows = written(rows.select("m", "id", F.col("raw").alias("uses"), (own + F.col("gamma") * F.col("lower")).alias("p"), "context", "gamma", "lower"), f"chances{k}")
+            rows = rows.withColumn("shorter", shorter(F.lit(k - 1))).join(below, ["m", "shorter"])
+        rows = written(rows.select("m", "id", F.col("raw").alias("uses"), (F.col("own") + F.col("gamma") * F.col("lower")).alias("p"), "gamma", "lower"), f"chances{k}")
         below = rows.select("m", F.col("id").alias("shorter"), F.col("p").alias("lower"))
         deltas = rows.select("m", "id", "uses", (F.log("p") - F.log("gamma") - F.log("lower")).alias("delta"))
-        gammas = rows.select("m", F.col("context").alias("id"), F.log("gamma").alias("log_gamma")).distinct()
         out = deltas if out is None else out.unionByName(deltas)
-        left = gammas if k == 1 else left.unionByName(gammas)
-    return (out.join(left.groupBy("m", "id").agg(F.first("log_gamma").alias("log_gamma")), ["m", "id"], "full")
+    left = contexts.select("m", F.col("context").alias("id"), F.log("gamma").alias("log_gamma"))
+    return (out.join(left, ["m", "id"], "full")
             .select("m", "id", F.coalesce("uses", F.lit(1 << 62)).alias("uses"), F.coalesce("delta", F.lit(0.0)).cast("float").alias("delta"),
                     F.coalesce("log_gamma", F.lit(0.0)).cast("float").alias("log_gamma")))
 
 
 def _discount(rows: DataFrame) -> Column:
-    """What is taken of a count, by model: three discounts from how many n-grams of an order have each of the counts 1 to 4."""
-    out = F.lit(None).cast("double")
-    for r in rows.groupBy("m").agg(*[F.count_if(F.col("n") == i).alias(f"n{i}") for i in (1, 2, 3, 4)]).collect():  # one row per model
+    """What is taken of a count, by model and order: three discounts from how many n-grams have each of the counts 1 to 4."""
+    found: dict[tuple[int, int], list[float]] = {}
+    for r in rows.groupBy("m", "k").agg(*[F.count_if(F.col("n") == i).alias(f"n{i}") for i in (1, 2, 3, 4)]).collect():  # a row for each order of a model
         y = r.n1 / (r.n1 + 2 * r.n2) if r.n1 else 0.0
         raw = [i - (i + 1) * y * b / a if a and b else 0.5 for i, a, b in ((1, r.n1, r.n2), (2, r.n2, r.n3), (3, r.n3, r.n4))]
-        d = [min(max(x, 0.1), i - 0.1) for i, x in enumerate(raw, 1)]
-        out = F.when(F.col("m") == r.m, F.when(F.col("n") == 1, d[0]).when(F.col("n") == 2, d[1]).otherwise(d[2])).otherwise(out)
-    return out
+        found[r.m, r.k] = [min(max(x, 0.1), i - 0.1) for i, x in enumerate(raw, 1)]
+    models = 1 + max((m for m, _ in found), default=0)
+    most = 1 + max((k for _, k in found), default=0)
+    every = F.array(*[F.lit(found.get((m, k), [0.5] * 3)[i]) for m in range(models) for k in range(most) for i in range(3)])
+    return F.get(every, ((F.col("m") * most + F.col("k")) * 3 + F.least("n", F.lit(3)) - 1).cast("int"))
 
 
 class Head:
@@ -201,21 +203,32 @@ def _bits(tail: DataFrame) -> np.ndarray:
 
 
 def heads(table: DataFrame, head_size: int) -> tuple[dict[int, Head], DataFrame]:
-    """The most used n-grams of each model, and the others, dealt out."""
-    models = sorted(r.m for r in table.select("m").distinct().collect())  # FOLDS of them
-    tops = [table.where(F.col("m") == m).orderBy(F.desc("uses"), "id").limit(head_size) for m in models]
-    sent = table.limit(0)
-    for top in tops:
-        sent = sent.unionByName(top)
-    sent = written(sent, "head")
-    tail = written(table.join(sent.select("m", "id"), ["m", "id"], "left_anti"), "tail")
+    """The most used n-grams of each model, at most `head_size`, and the others, dealt out."""
+    step = F.floor(8 * F.log2(F.col("uses") + 1)).cast("int")  # some five hundred steps of use
+    steps = table.groupBy("m", step.alias("step")).agg(F.count("*").alias("n")).collect()
+    first = {}
+    for m in sorted({r.m for r in steps}):  # FOLDS of them
+        held = 0
+        for r in sorted((r for r in steps if r.m == m), key=lambda r: -r.step):
+            held += r.n
+            if held > head_size:
+                break
+            first[m] = r.step
+        first.setdefault(m, 1 << 30)
+    least = F.get(F.array(*[F.lit(first.get(m, 1 << 30)) for m in range(1 + max(first, default=0))]), F.col("m").cast("int"))
+    tail = table.where(step < least)
     bits, out = _bits(tail), {}
-    for m in models:
-        rows = sent.where(F.col("m") == m).select("id", "delta", "log_gamma").toPandas()
-        out[m] = Head(m, rows["id"].to_numpy(dtype=np.int64).astype(np.uint64), rows["delta"].to_numpy(np.float32), rows["log_gamma"].to_numpy(np.float32), bits)
+    rows = table.where(step >= least).select("m", "id", "delta", "log_gamma").toPandas()
+    for m in first:
+        own = rows[rows["m"] == m]
+        ids = own["id"].to_numpy(dtype=np.int64).astype(np.uint64)
+        # an empty table looks nothing up
+        ids, delta, gamma = (ids, own["delta"].to_numpy(np.float32), own["log_gamma"].to_numpy(np.float32)) if len(ids) else _NOTHING
+        out[m] = Head(m, ids, delta, gamma, bits)
     return out, tail
 
 
+_NOTHING = np.array([2], np.uint64), np.zeros(1, np.float32), np.zeros(1, np.float32)
 _SCORED = "row bigint, doc_id {kind}, tie bigint, lang string, m bigint, n bigint, log_p double, uses array<struct<word:bigint,other:bigint,times:bigint>>, " \
           "word bigint, other bigint, id bigint, predicted bigint, context bigint"
 
@@ -225,7 +238,7 @@ def score(docs: DataFrame, table: DataFrame, order: int = ORDER, head_size: int
     own, tail = heads(table, head_size)
     none = np.zeros(FILTER_BITS // 64, dtype=np.uint64)
     for m in range(FOLDS):  # a fold that no model was made for scores each byte by chance
-        own.setdefault(m, Head(m, np.array([1], np.uint64), np.zeros(1, np.float32), np.zeros(1, np.float32), none))
+        own.setdefault(m, Head(m, *_NOTHING, none))
     shared = docs.sparkSession.sparkContext.broadcast(own)
     base = docs.select("doc_id", "lang", "text", F.col("m").cast("bigint").alias("m"), F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("tie"))
     schema = _SCORED.format(kind=docs.schema["doc_id"].dataType.simpleString())
@@ -310,10 +323,8 @@ def judge(docs: DataFrame, labels: DataFrame, order: int = ORDER, quantile: floa
     folded = docs.select("doc_id", "lang", "text", F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)).alias("m"))
     # the trusted ids grow with the table, so they are never sent whole, on small tables neither
     own = trusted.hint("merge")
-    counts = written(count(folded.join(own, F.col("doc_id") == F.col("id"), "left_semi"), order), "counts")
-    others = F.explode(F.array_remove(F.sequence(F.lit(0).cast("bigint"), F.lit(FOLDS - 1).cast("bigint")), F.col("m")))
-    of_models = counts.select(others.alias("m"), "id", "raw").groupBy("m", "id").agg(F.sum("raw").alias("raw"))
-    table = written(model(written(of_models, "counts"), order), "model")
+    counts = written(count(folded.join(own, F.col("doc_id") == F.col("id"), "left_semi"), order, others=True), "counts")
+    table = written(model(counts, order), "model")
     s = score(folded, table, order, head_size)
     known = F.col("id").isNotNull().alias("trusted")
     x = F.when(F.col("n") > 0, -F.col("log_p") / F.col("n")).alias("x")
