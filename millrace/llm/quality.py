@@ -35,6 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -196,9 +197,9 @@ def _bits(tail: DataFrame) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array((bits >> np.uint64(6)).astype(np.int64)), pa.array((bits & np.uint64(63)).astype(np.int32))], ["at", "bit"])
 
     words = (tail.select("id", "m").mapInArrow(run, "at bigint, bit int")
-             .groupBy("at").agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("bit"))).alias("word")).toPandas())
+             .groupBy("at").agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("bit"))).alias("word")).toArrow())
     out = np.zeros(FILTER_BITS // 64, dtype=np.uint64)
-    out[words["at"].to_numpy()] = words["word"].to_numpy().astype(np.int64).view(np.uint64)
+    out[words["at"].to_numpy()] = words["word"].to_numpy().view(np.uint64)
     return out
 
 
@@ -218,12 +219,12 @@ def heads(table: DataFrame, head_size: int) -> tuple[dict[int, Head], DataFrame]
     least = F.get(F.array(*[F.lit(first.get(m, 1 << 30)) for m in range(1 + max(first, default=0))]), F.col("m").cast("int"))
     tail = table.where(step < least)
     bits, out = _bits(tail), {}
-    rows = table.where(step >= least).select("m", "id", "delta", "log_gamma").toPandas()
+    rows = table.where(step >= least).select("m", "id", "delta", "log_gamma").toArrow()
     for m in first:
-        own = rows[rows["m"] == m]
-        ids = own["id"].to_numpy(dtype=np.int64).astype(np.uint64)
+        own = rows.filter(pc.equal(rows["m"], m))
+        ids = own["id"].to_numpy().astype(np.uint64)
         # an empty table looks nothing up
-        ids, delta, gamma = (ids, own["delta"].to_numpy(np.float32), own["log_gamma"].to_numpy(np.float32)) if len(ids) else _NOTHING
+        ids, delta, gamma = (ids, own["delta"].to_numpy(), own["log_gamma"].to_numpy()) if len(ids) else _NOTHING
         out[m] = Head(m, ids, delta, gamma, bits)
     return out, tail
 
