@@ -3,8 +3,7 @@
 The model predicts the UTF-8 bytes of words, from a blank before to the blank behind, each
 from up to `ORDER` - 1 bytes before it in the word. An n-gram is one number: its bytes, first
 byte highest, under a leading one. So the context is `id >> 8`, the shorter n-gram a mask
-away, and all counts are sums, groups and equi-joins on numbers that Spark deals out. At this
-order most words are n-grams of their own, so the model grows with the vocabulary.
+away, and all counts are sums, groups and equi-joins on numbers that Spark deals out.
 
 * Training text: documents labelled good, dealt in `FOLDS` folds by id hash. Model `m` is of
   all folds but `m` and scores the documents of fold `m`, so no document is scored by a model
@@ -42,12 +41,12 @@ from pyspark.sql import functions as F
 
 from millrace.llm.frames import bytes_of, hash_words, mixed, slices, words_of, written
 
-ORDER = 7       # as many bytes as an id holds
+ORDER = 5       # an id holds up to 7 bytes
 QUANTILE = 0.995
 FOLDS = 2
 DRAW = 100.0
 MARGIN = 2.0
-HEAD = 1 << 18
+HEAD = 1 << 17
 FILTER_BITS = 1 << 26
 SLICE_BYTES = 16 << 20
 WORDS = 1 << 15  # different words looked at together, so that the arrays between stay small
