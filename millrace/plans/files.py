@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from millrace.functions import partitions as pt
 from millrace.plans.registry import Tables, case
+from millrace.sources.archives import archive_line_stream, archive_lines, write_archives
 from millrace.sources.landing import read_delimited
 from millrace.sources.layers import LayerTable
 from millrace.sources.scratch import scratch
+from millrace.streaming.sinks import append_files, finish
 
 _ORDERS = "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders"
 _SCHEMA = "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE"
@@ -37,6 +39,27 @@ def file_landed_text(t: Tables) -> DataFrame:
     return read_delimited(t.spark, f"{path}/*.csv", schema)
 
 
+@case("q_file_zip", _ORDERS)
+def file_zip(t: Tables) -> DataFrame:
+    """Exported as zip archives by the executors, read back line by line."""
+    path = scratch(t.spark, "zip")
+    rows = orders(t).select(F.to_csv(F.struct("*"), {"sep": ";"}).alias("line"))
+    write_archives(rows, path, "o_orderkey;o_custkey;o_orderstatus;o_totalprice").count()
+    lines = archive_lines(t.spark, path).where("start > 0")  # the first line of a member is its header
+    return lines.select(F.from_csv(F.col("line").cast("string"), _SCHEMA, {"sep": ";"}).alias("row")).select("row.*")
+
+
+@case("q_file_zip_members", "SELECT 'rows.csv' AS member, count(*) AS n, CAST(sum(length(CAST(c_custkey AS VARCHAR) || ';' || c_name)) AS BIGINT) AS bytes FROM customer")
+def file_zip_members(t: Tables) -> DataFrame:
+    """A stored member is read in ranges of bytes, and the archives as a stream: every line comes once."""
+    path = scratch(t.spark, "zip-stream")
+    write_archives(t.customer.select(F.concat_ws(";", "c_custkey", "c_name").alias("line")), f"{path}/in", "custkey;name", stored=True).count()
+    stream = archive_line_stream(t.spark, f"{path}/in", range_bytes=10_000).where("start > 0").select("member", "line")
+    finish(append_files(stream, f"{path}/out", f"{path}/state"))
+    rows = t.spark.read.schema(stream.schema).parquet(f"{path}/out")
+    return rows.groupBy("member").agg(F.count("*").alias("n"), F.sum(F.octet_length("line")).alias("bytes"))
+
+
 @case("q_file_json", _ORDERS)
 def file_json(t: Tables) -> DataFrame:
     path = scratch(t.spark, "json")

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.sketches import day_sketches, rolled_up
 from millrace.plans.registry import Tables, case
+from millrace.sources.scratch import scratch
 
 
 @case("q_group_pricing_summary", """
@@ -189,6 +191,18 @@ def agg_approx_distinct(t: Tables) -> DataFrame:
     return t.lineitem.groupBy("l_returnflag").agg(near(0.05).alias("near"), near(0.02).alias("near_tight"))
 
 
+@case("q_agg_sketch_rollup", "SELECT CAST(month(ts) AS INTEGER) AS month, event_type, count(DISTINCT user_id) AS users FROM events GROUP BY ALL UNION ALL SELECT CAST(month(ts) AS INTEGER), NULL, count(DISTINCT user_id) FROM events GROUP BY ALL")
+def agg_sketch_rollup(t: Tables) -> DataFrame:
+    """Sketches of each day, kept as a table, rolled up by month and over all kinds: no user is counted again.
+
+    A sketch of 2^16 cells is exact up to some thousand users, so the estimates are the counts here.
+    """
+    path = scratch(t.spark, "sketches")
+    day_sketches(t.events, F.to_date("ts"), ["event_type"], "user_id").write.parquet(path)
+    days = t.spark.read.parquet(path).withColumn("month", F.month("day"))
+    return rolled_up(days, ["month", "event_type"], "users").unionByName(rolled_up(days, ["month"], "users").withColumn("event_type", F.lit(None).cast("string")))
+
+
 @case("q_agg_percentile_approx", """
 SELECT l_returnflag, quantile_disc(l_quantity, 0.5) AS p50, quantile_disc(l_quantity, 0.9) AS p90 FROM lineitem GROUP BY 1""")
 def agg_percentile_approx(t: Tables) -> DataFrame:

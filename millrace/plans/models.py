@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators import matrix
+from millrace.operators.ranks import rank_correlation
 from millrace.plans.registry import Tables, case
 from millrace.sources.scratch import scratch
 from millrace.streaming.learning import CentroidModel, GradientModel
@@ -196,17 +197,15 @@ def pattern_rules(t: Tables) -> DataFrame:
 
 
 @case("q_pattern_sequences", """
-WITH t AS (SELECT conv_id AS c, role, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role) AS n FROM conversations),
-steps AS (
-  SELECT c, role AS steps FROM t
-  UNION ALL SELECT x.c, x.role || '>' || y.role FROM t x JOIN t y ON x.c = y.c AND x.n < y.n
-  UNION ALL SELECT x.c, x.role || '>' || y.role || '>' || z.role FROM t x JOIN t y ON x.c = y.c AND x.n < y.n JOIN t z ON y.c = z.c AND y.n < z.n)
+WITH RECURSIVE t AS (SELECT conv_id AS c, role, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role) AS n FROM conversations),
+steps AS (SELECT c, role AS steps, n FROM t UNION SELECT x.c, x.steps || '>' || y.role, y.n FROM steps x JOIN t y ON x.c = y.c AND x.n < y.n)
 SELECT steps, count(DISTINCT c) AS freq FROM steps GROUP BY 1 HAVING count(DISTINCT c) >= 0.1 * (SELECT count(DISTINCT c) FROM t)""")
 def pattern_sequences(t: Tables) -> DataFrame:
-    """Frequent orders of one to three roles in talks; a sequence is one talk, which has few turns."""
+    """All frequent orders of roles in talks; a sequence is one talk, which has few turns."""
     turns = t.conversations.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role"))).alias("x"))
     sequences = turns.select(F.transform("x", lambda e: F.array(e["role"])).alias("sequence"))
-    found = fpm.PrefixSpan(minSupport=0.1, maxPatternLength=3).findFrequentSequentialPatterns(sequences)
+    longest = sequences.agg(F.coalesce(F.max(F.size("sequence")), F.lit(1))).first()[0]
+    found = fpm.PrefixSpan(minSupport=0.1, maxPatternLength=max(longest, 1)).findFrequentSequentialPatterns(sequences)
     return found.select(F.array_join(F.transform("sequence", lambda s: s[0]), ">").alias("steps"), "freq")
 
 
@@ -248,8 +247,7 @@ def stats_correlation(t: Tables) -> DataFrame:
 SELECT round(corr(a, b), 6) AS rho FROM (SELECT rank() OVER (ORDER BY l_quantity) + (count(*) OVER (PARTITION BY l_quantity) - 1) / 2.0 AS a,
 rank() OVER (ORDER BY l_discount) + (count(*) OVER (PARTITION BY l_discount) - 1) / 2.0 AS b FROM lineitem)""")
 def stats_rank_correlation(t: Tables) -> DataFrame:
-    found = stat.Correlation.corr(flat_lines(t), "features", "spearman").first()[0]  # two by two
-    return _one_row(t, {"rho": found.toArray()[0, 1]})
+    return rank_correlation(t.lineitem, "l_quantity", "l_discount").select(F.round("rho", 6).alias("rho"))
 
 
 @case("q_stats_chi_square", """

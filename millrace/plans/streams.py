@@ -71,6 +71,17 @@ def stream_sliding(t: Tables) -> DataFrame:
     return out.select(F.date_format("start", TIME_TEXT).alias("start_"), "n")
 
 
+@case("q_stream_panes", """
+SELECT strftime(s, '%Y-%m-%d %H:%M:%S') AS start_, event_type, count(*) AS n, CAST(sum(cents) AS BIGINT) AS cents FROM (
+  SELECT event_type, CAST(round(value * 100) AS BIGINT) AS cents, time_bucket(INTERVAL 5 MINUTE, ts) - to_minutes(5 * i) AS s FROM events, range(288) AS r(i)) GROUP BY ALL""")
+def stream_panes(t: Tables) -> DataFrame:
+    """Windows of a day every five minutes: the stream sums panes, each of which is two rows of the result, not 288."""
+    sums = [F.count("*").alias("n"), F.sum(F.round(F.col("value") * 100).cast("bigint")).alias("cents")]
+    panes = _updates(t, so.windowed(_events(t), "ts", ["event_type"], sums, "5 minutes"), ["start", "event_type"])
+    out = so.windows_of_panes(panes, "start", ["event_type"], ["n", "cents"], 86_400, 300)
+    return out.select(F.date_format("start", TIME_TEXT).alias("start_"), "event_type", "n", "cents")
+
+
 @case("q_stream_closed_windows", """
 SELECT strftime(b, '%Y-%m-%d %H:%M:%S') AS start_, count(*) AS n FROM (SELECT time_bucket(INTERVAL 1 DAY, ts) AS b FROM events)
 WHERE b + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR GROUP BY 1""")

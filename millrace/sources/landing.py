@@ -123,12 +123,29 @@ def archive_members(spark: SparkSession, folder: str, suffix: str = ".csv") -> D
     return paths.mapInPandas(members, "archive string, member string, file_name string, bytes bigint, crc bigint")
 
 
+def _changed(batches: Iterator) -> Iterator:
+    """Names of landed files whose checksum isn't `crc`; a file is read 1 MB at a time."""
+    import zlib
+
+    for batch in batches:
+        keep = []
+        for path, crc in zip(batch["path"], batch["crc"]):
+            store, own = _store(path)
+            found = 0
+            with store.open_input_stream(own) as data:
+                while piece := data.read(1 << 20):
+                    found = zlib.crc32(piece, found)
+            keep.append(found != crc)
+        yield batch.loc[keep, ["file_name"]]
+
+
 def land_archives(spark: SparkSession, folder: str, landing: str, suffix: str = ".csv") -> DataFrame:
     """Write every fitting member of the archives in `folder` to `landing`, from the executors.
 
     Members of one name must be equal (size and checksum): they are landed once, from the
     first archive by path. Where they differ nothing is landed and the names are told. A name
-    that was in `landing` before is skipped. Each member is copied as a stream of 1 MB at a
+    that was in `landing` before is skipped if its bytes are the same, and stops the job with its
+    name if not. Each member is copied as a stream of 1 MB at a
     time by the task that its name is dealt to, so neither an archive nor a member is held whole. A
     file is written under a hidden name and then moved, so a retried task leaves no half
     file and replaces its own. Gives the landed names once the frame is run.
@@ -138,11 +155,18 @@ def land_archives(spark: SparkSession, folder: str, landing: str, suffix: str =
     clashes = found.groupBy("file_name").agg(differ.alias("differ")).where("differ").select("file_name").take(5)
     if clashes:
         raise ValueError(f"different members of one name: {', '.join(sorted(r.file_name for r in clashes))}")
-    first = F.min(F.struct("archive", "member")).alias("first")
+    first = F.min(F.struct("archive", "member", "bytes", "crc")).alias("first")
     chosen = found.groupBy("file_name").agg(first).select("file_name", "first.*")
     try:
         # the listing is made here, so it does not hold what this run lands
-        chosen = chosen.join(landed_files(spark, landing).select("file_name"), "file_name", "left_anti")
+        landed = landed_files(spark, landing).select("file_name", "path", F.col("bytes").alias("landed_bytes"))
+        known = chosen.join(landed, "file_name")
+        other = known.where("bytes <> landed_bytes").select("file_name")
+        same_size = known.where("bytes = landed_bytes").select("file_name", "path", "crc").mapInPandas(_changed, "file_name string")
+        changed = other.unionByName(same_size).take(5)
+        if changed:
+            raise ValueError(f"landed before with other bytes: {', '.join(sorted(r.file_name for r in changed))}")
+        chosen = chosen.join(landed.select("file_name"), "file_name", "left_anti")
     except AnalysisException as error:
         if not is_missing_path(error):
             raise

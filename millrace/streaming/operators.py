@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
@@ -19,6 +19,28 @@ def windowed(
     return out.select("window.start", "window.end", *keys, *rest)
 
 
+def windows_of_panes(panes: DataFrame, start: str, keys: Sequence[str], sums: Sequence[str], width: int, slide: int) -> DataFrame:
+    """start, keys and `sums` of every sliding window of `width` seconds that holds a pane, from sums of panes of `slide` seconds.
+
+    A pane enters the windows from one start on and leaves them at another, so it is two rows, one
+    added and one taken off, whatever the ratio of width to slide. Between two such times the
+    windows of a key are equal. Sums must be whole numbers or decimals, which add and subtract
+    exactly; a pane without rows is not there. A key's panes, which its span of time bounds, are in one task.
+    """
+    if width % slide:
+        raise ValueError("the width must be a multiple of the slide")
+    at = F.unix_seconds(F.col(start))
+    moves = F.explode(F.array(
+        F.struct((at - (width - slide)).alias("at"), F.lit(1).alias("sign")), F.struct((at + slide).alias("at"), F.lit(-1).alias("sign"))))
+    rows = panes.select(*keys, *sums, moves.alias("move")).select(*keys, "move.at", *[(F.col(s) * F.col("move.sign")).alias(s) for s in sums], F.col("move.sign").alias("_held"))
+    steps = rows.groupBy(*keys, "at").agg(*[F.sum(s).alias(s) for s in [*sums, "_held"]])
+    along = Window.partitionBy(*keys).orderBy("at")
+    upto = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    totals = steps.select(*keys, "at", F.lead("at").over(along).alias("_next"), *[F.sum(s).over(upto).alias(s) for s in [*sums, "_held"]])
+    each = F.explode(F.sequence(F.col("at"), F.col("_next") - slide, F.lit(slide)))
+    return totals.where("_held > 0").withColumn("_each", each).select(F.timestamp_seconds("_each").alias("start"), *keys, *sums)
+
+
 def sessions(stream: DataFrame, time: str, keys: Sequence[str], aggregates: Sequence[Column], gap: str | Column) -> DataFrame:
     """Aggregates by session: rows closer than `gap`. The state is the sums, never the rows."""
     out = stream.groupBy(F.session_window(time, gap).alias("window"), *keys).agg(*aggregates)
