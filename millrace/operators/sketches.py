@@ -16,7 +16,7 @@ def day_sketches(rows: DataFrame, day: Column, keys: Sequence[str], value: str,
 
 
 def merged(sketches: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """keys and sketch: the union of the sketches of each key, which is the sketch of all their rows."""
+    """keys and sketch: the union of the sketches of each key; unions made in another order may differ within the error."""
     return sketches.groupBy(*keys).agg(F.hll_union_agg("sketch").alias("sketch"))
 
 

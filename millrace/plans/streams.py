@@ -15,6 +15,7 @@ from millrace.sources.scratch import scratch
 from millrace.streaming import operators as so
 from millrace.streaming.sinks import append_files, batch_folders, finish, latest_updates
 from millrace.streaming.sources import event_time, file_stream, table_stream
+from millrace.streaming.state import quiet_totals, state_session
 
 TIME_TEXT = "yyyy-MM-dd HH:mm:ss"
 
@@ -132,6 +133,20 @@ def stream_keyed_state(t: Tables) -> DataFrame:
     return _updates(t, stream, ["user_id"]).select("user_id", "n", F.round("total", 2).alias("total"))
 
 
+@case("q_stream_quiet_users", """
+SELECT user_id, count(*) AS n, CAST(sum(CAST(round(value * 100) AS BIGINT)) + coalesce(max(CAST(round(c_acctbal) AS BIGINT)), 0) AS BIGINT) AS total
+FROM events LEFT JOIN customer ON user_id = c_custkey GROUP BY user_id
+HAVING max(ts) + INTERVAL 24 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""")
+def stream_quiet_users(t: Tables) -> DataFrame:
+    """Users without an event for a day, by timers of the event time; totals begin with the customer's balance."""
+    own = Tables(state_session(t.spark), t.folder)
+    events = _events(own).withColumn("cents", F.round(F.col("value") * 100).cast("bigint"))
+    first = own.customer.select(F.col("c_custkey").alias("user_id"), F.round("c_acctbal").cast("bigint").alias("total"))
+    base = scratch(t.spark, "quiet")
+    finish(append_files(quiet_totals(events, "user_id", "cents", "ts", 86_400_000, first), f"{base}/out", f"{base}/state"))
+    return t.spark.read.schema("user_id bigint, n bigint, total bigint").parquet(f"{base}/out")
+
+
 @case("q_stream_batch_upsert", "SELECT user_id, max(ts) AS last_seen FROM events GROUP BY 1")
 def stream_batch_upsert(t: Tables) -> DataFrame:
     """Each batch is cut to its newest row per key before it is written."""
