@@ -21,9 +21,9 @@ from millrace.operators import matrix
 from millrace.operators.ranks import rank_correlation
 from millrace.plans.registry import Tables, case
 from millrace.sources.scratch import scratch
-from millrace.streaming.learning import CentroidModel, GradientModel
+from millrace.streaming.learning import CentroidModel, GradientModel, ModelLog, train
 from millrace.streaming.sinks import finish
-from millrace.streaming.sources import table_stream
+from millrace.streaming.sources import file_stream, table_stream
 
 
 def points(t: Tables, classes: int = 2) -> DataFrame:
@@ -468,3 +468,44 @@ def stream_gradient_regression(t: Tables) -> DataFrame:
         base = scratch(t.spark, "gradient")
         finish(stream.writeStream.foreachBatch(lambda rows, _: model.update(rows, ["q"], "label")).option("checkpointLocation", base).trigger(availableNow=True).start())
     return _better_number(shaped(t.lineitem).withColumn("prediction", model.score(["q"])))
+
+
+def _mornings_then_rest(t: Tables, make, update) -> DataFrame:
+    """The log's last state of a model that learns the mornings' events, is stopped, and learns the others as a new object."""
+    base = scratch(t.spark, "model")
+    rows = t.events.select((F.col("value") / 100).alias("x"), F.array(F.col("value") / 100).alias("xs"),
+                           (F.col("event_type") == "purchase").cast("double").alias("y"), (F.hour("ts") < 12).alias("morning"))
+    log = ModelLog(t.spark, f"{base}/log")
+    for morning in (True, False):
+        rows.where(F.col("morning") == morning).write.mode("append").parquet(f"{base}/in")
+        model = make()
+        finish(train(file_stream(t.spark, f"{base}/in", rows.schema), model, lambda batch, m=model: update(m, batch), log, f"{base}/state"))
+    return log.rows()
+
+
+_HALVES = """
+WITH e AS (SELECT value / 100 AS x, CASE WHEN event_type = 'purchase' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS y, hour(ts) < 12 AS morning FROM events),"""
+
+
+@case("q_stream_logistic_restart", _HALVES + """
+a AS (SELECT -2 * avg(0.5 - y) AS w0, -2 * avg((0.5 - y) * x) AS w1 FROM e WHERE morning),
+b AS (SELECT max(w0) AS w0, max(w1) AS w1, avg(p - y) AS g0, avg((p - y) * x) AS g1 FROM (SELECT *, 1 / (1 + exp(-(w0 + w1 * x))) AS p FROM e, a WHERE NOT morning))
+SELECT 0 AS place, round(w0 - 2 / sqrt(2) * g0, 6) AS weight, 2 AS batches FROM b UNION ALL SELECT 1, round(w1 - 2 / sqrt(2) * g1, 6), 2 FROM b""")
+def stream_logistic_restart(t: Tables) -> DataFrame:
+    """Logistic regression by a gradient step per batch, over a restart."""
+    state = _mornings_then_rest(t, lambda: GradientModel(1, step=2.0, logistic=True), lambda m, rows: m.update(rows, ["x"], "y"))
+    found = state.select(F.from_json("state", "weights ARRAY<DOUBLE>, batches INT").alias("s"))
+    return found.select(F.posexplode("s.weights").alias("place", "weight"), F.col("s.batches").alias("batches")).withColumn("weight", F.round("weight", 6))
+
+
+@case("q_stream_centroids_restart", _HALVES + """
+a AS (SELECT CASE WHEN (x - 0.2) ** 2 <= (x - 0.8) ** 2 THEN 0 ELSE 1 END AS c, sum(x) AS s, count(*) AS n FROM e WHERE morning GROUP BY 1),
+m AS (SELECT max(CASE c WHEN 0 THEN s / n END) AS c0, max(CASE c WHEN 1 THEN s / n END) AS c1 FROM a),
+b AS (SELECT CASE WHEN (x - c0) ** 2 <= (x - c1) ** 2 THEN 0 ELSE 1 END AS c, sum(x) AS s, count(*) AS n FROM e, m WHERE NOT morning GROUP BY 1)
+SELECT a.c AS centre, round((a.s / 2 + b.s) / (a.n / 2 + b.n), 6) AS at, round(a.n / 2 + b.n, 1) AS weight FROM a JOIN b ON a.c = b.c""")
+def stream_centroids_restart(t: Tables) -> DataFrame:
+    """K-means with half of the old weight kept at each batch, over a restart."""
+    state = _mornings_then_rest(t, lambda: CentroidModel([[0.2], [0.8]], decay=0.5), lambda m, rows: m.update(rows, "xs"))
+    found = state.select(F.from_json("state", "centres ARRAY<ARRAY<DOUBLE>>, weights ARRAY<DOUBLE>").alias("s"))
+    pairs = found.select(F.posexplode(F.arrays_zip("s.centres", "s.weights")).alias("centre", "p"))
+    return pairs.select("centre", F.round(F.col("p.centres")[0], 6).alias("at"), F.round("p.weights", 1).alias("weight"))
