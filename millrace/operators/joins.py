@@ -8,14 +8,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.ordered import last_value, running
-from millrace.session import fits
 
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 32 << 20
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark `df` for broadcast when it has at most `max_rows` rows; else let the planner choose."""
-    return F.broadcast(df) if fits(df, max_rows) else df
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Mark `df` for broadcast when it has at most `max_rows` rows and, written as text, `max_bytes`; else let the planner choose."""
+    width = F.lit(0).cast("bigint")
+    for c in df.columns:
+        width = width + F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0))
+    n, size = df.limit(max_rows + 1).agg(F.count("*"), F.sum(width)).first()
+    return F.broadcast(df) if n <= max_rows and (size or 0) <= max_bytes else df
 
 
 def asof_join(

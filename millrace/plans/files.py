@@ -10,7 +10,9 @@ from millrace.plans.registry import Tables, case
 from millrace.sources.archives import archive_line_stream, archive_lines, write_archives
 from millrace.sources.landing import read_delimited
 from millrace.sources.layers import LayerTable
+from millrace.sources.partitioned import Filed, in_range, with_folders
 from millrace.sources.scratch import scratch
+from millrace.sources.snapshots import SnapshotTable
 from millrace.streaming.sinks import append_files, finish
 
 _ORDERS = "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders"
@@ -147,3 +149,31 @@ def file_libsvm(t: Tables) -> DataFrame:
     t.embeddings.select(F.col("label").cast("double").alias("label"), x).write.mode("overwrite").format("libsvm").save(path)
     back = t.spark.read.format("libsvm").option("numFeatures", "64").load(path)
     return back.groupBy(F.col("label").cast("int").alias("label")).agg(F.count("*").alias("n"))
+
+
+@case("q_table_conditional_overwrite", f"""
+WITH a AS ({_ORDERS}),
+b AS (SELECT * FROM a WHERE NOT (o_orderstatus = 'F' AND o_totalprice > 100000)
+      UNION ALL SELECT o_orderkey, o_custkey, 'X', o_totalprice FROM a WHERE o_orderstatus = 'F' AND o_totalprice > 100000),
+c AS (SELECT * FROM b WHERE o_orderstatus <> 'P' UNION ALL SELECT o_orderkey, -1, o_orderstatus, o_totalprice FROM a WHERE o_orderstatus = 'P' AND o_totalprice > 50000)
+SELECT * FROM c WHERE NOT (o_orderstatus = 'O' AND o_totalprice < 60000)""")
+def table_conditional_overwrite(t: Tables) -> DataFrame:
+    """Edits of one table: rows by a condition, whole partitions, rows deleted; each is a version."""
+    table = SnapshotTable(t.spark, scratch(t.spark, "snapshots"))
+    table.create(orders(t), ["o_orderstatus"])
+    dear = (F.col("o_orderstatus") == "F") & (F.col("o_totalprice") > 100_000)
+    table.overwrite(table.read().where(dear).withColumn("o_orderstatus", F.lit("X")), dear)
+    open_part = table.read(1).where("o_orderstatus = 'P' AND o_totalprice > 50000")
+    table.overwrite_partitions(open_part.withColumn("o_custkey", F.lit(-1).cast("bigint")))
+    table.delete((F.col("o_orderstatus") == "O") & (F.col("o_totalprice") < 60_000))
+    return table.read().select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+
+
+@case("q_table_time_range", """
+SELECT event_id, user_id, event_type FROM events WHERE ts >= TIMESTAMP '2024-01-05 06:30:00' AND ts < TIMESTAMP '2024-01-09 18:00:00'""")
+def table_time_range(t: Tables) -> DataFrame:
+    """Events filed by month and day; a range of times reads the days that it touches."""
+    filed = [Filed("ts", "months"), Filed("ts", "days")]
+    table = SnapshotTable(t.spark, scratch(t.spark, "filed"))
+    table.create(with_folders(t.events, filed), [f.name for f in filed])
+    return in_range(table.read(), filed, "ts", "2024-01-05 06:30:00", "2024-01-09 18:00:00").select("event_id", "user_id", "event_type")

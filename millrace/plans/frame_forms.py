@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from millrace.functions import numbers as num
 from millrace.operators import frames, keys, reshape
 from millrace.operators import ordered as o
+from millrace.operators.categories import encode
 from millrace.operators.joins import asof_join, update
 from millrace.operators.sessions import sessionize
 from millrace.plans.registry import Tables, case
@@ -563,3 +564,13 @@ def category_unused(t: Tables) -> DataFrame:
     listed = ["SMALL", "MEDIUM", "LARGE", "GIANT"]
     counts = t.part.agg(*[F.count_if(F.col("p_type") == v).alias(v) for v in listed])
     return reshape.melt(counts, [], listed, "category", "n").where("n = 0")
+
+
+@case("q_category_edits", """
+WITH e AS (SELECT p_partkey, CASE p_type WHEN 'SMALL' THEN 'TINY' WHEN 'LARGE' THEN 'LARGE' END AS p_type FROM part)
+SELECT p_partkey, p_type, CASE p_type WHEN 'LARGE' THEN 0 WHEN 'TINY' THEN 1 END AS place, p_type = 'TINY' AS at_least_tiny FROM e""")
+def category_edits(t: Tables) -> DataFrame:
+    """Levels added, removed, renamed, reordered and compared; the rows keep their codes."""
+    sizes = encode(t.part.select("p_partkey", "p_type"), "p_type", ["SMALL", "MEDIUM", "LARGE"], ordered=True)
+    sizes = sizes.add(["GIANT"]).remove(["MEDIUM"]).rename({"SMALL": "TINY"}).reorder(["LARGE", "TINY", "GIANT"])
+    return sizes.decoded("place").withColumn("at_least_tiny", F.col("place") >= sizes.place_of("TINY"))

@@ -65,6 +65,10 @@ def test_large_sides_are_not_broadcast_by_hint(tables):
 
     assert "broadcast" in broadcast_if_small(tables.region, 10)._jdf.queryExecution().logical().toString().lower()
     assert "ResolvedHint" not in broadcast_if_small(tables.lineitem, 10)._jdf.queryExecution().analyzed().toString()
+    # few rows of long texts are too much as well
+    long = tables.region.select("r_regionkey", F.repeat(F.lit("x"), 10_000).alias("text"))
+    assert "ResolvedHint" in broadcast_if_small(long, 10, 60_000)._jdf.queryExecution().analyzed().toString()
+    assert "ResolvedHint" not in broadcast_if_small(long, 10, 40_000)._jdf.queryExecution().analyzed().toString()
 
 
 @pytest.mark.parametrize(("hint", "node"), [
