@@ -24,7 +24,7 @@ def rank_correlation(df: DataFrame, x: str, y: str) -> DataFrame:
         # the mean of the ranks upto - own + 1 .. upto
         ranked = ranked.join(upto.select(name, (F.col("upto") - (F.col("own") - 1) / 2).alias(f"rank_{name}")), name)
     # ranks of n rows have the mean (n + 1) / 2, with ties as well
-    middle = pairs.agg(((F.sum("n") + 1) / 2).alias("middle"))  # one row
+    middle = pairs.agg(((F.sum("n") + 1) / 2).alias("middle")).scalar()
     da, db = F.col("rank_x") - F.col("middle"), F.col("rank_y") - F.col("middle")
-    sums = ranked.crossJoin(F.broadcast(middle)).agg(F.sum("n").alias("n"), F.sum(F.col("n") * da * db).alias("ab"), F.sum(F.col("n") * da * da).alias("aa"), F.sum(F.col("n") * db * db).alias("bb"))
+    sums = ranked.withColumn("middle", middle).agg(F.sum("n").alias("n"), F.sum(F.col("n") * da * db).alias("ab"), F.sum(F.col("n") * da * da).alias("aa"), F.sum(F.col("n") * db * db).alias("bb"))
     return sums.select(F.try_divide("ab", F.sqrt(F.col("aa") * F.col("bb"))).alias("rho"), F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
