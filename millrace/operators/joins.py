@@ -65,19 +65,21 @@ def asof_join(
         spread = F.pmod(F.xxhash64("_row", "_match"), F.lit(1 << 32))
         return F.when(first, spread).otherwise(spread + F.lit(1 << 33))
 
-    # right rows come before left rows of the same time when exact matches count
-    found = {}
-    if direction in ("backward", "nearest"):
-        found["_back"] = (side(left_first=not exact), False)
-    if direction in ("forward", "nearest"):
-        found["_next"] = (side(left_first=exact), True)
-    out = both
-    for name, (tie, descending) in found.items():
-        order = ["_on", "_tie", "_match"]
-        out = running(
-            out.withColumn("_tie", tie), list(by), order,
-            {name: last_value("_match", order, descending)}, descending=descending, pieces=pieces,
-        ).drop("_tie")
+    order = ["_on", "_tie", "_match"]
+
+    def carry(df: DataFrame, left_first: bool, values: dict, onward: dict) -> DataFrame:
+        tied = df.withColumn("_tie", side(left_first))
+        return running(tied, list(by), order, values, onward=onward, pieces=pieces).drop("_tie")
+
+    back = {"_back": last_value("_match", order)} if direction != "forward" else {}
+    following = {"_next": last_value("_match", order, descending=True)} if direction != "backward" else {}
+    if direction == "nearest" and exact:
+        # right rows of the same time come before and are nearest, so only later ones are wanted from the other side
+        out = carry(both, False, back, following)
+    else:
+        # right rows come before left rows of the same time when exact matches count; the other way round from the end
+        out = carry(both, not exact, back, {}) if back else both
+        out = carry(out, exact, {}, following) if following else out
     out = out.where("_left")
 
     if direction == "nearest":

@@ -192,6 +192,14 @@ def dense_rank(order: Sequence[str]) -> Running:
     return Running(F.count_distinct(F.struct(*order)), F.sum, F.dense_rank(), _add, framed=False)
 
 
+def one_back(column: str) -> Running:
+    """The value one row back, for the first column of the order: what came before a chunk is then its greatest."""
+    return Running(
+        F.max(column), F.max, F.lag(column, 1),
+        lambda carried, local: F.coalesce(local, carried), framed=False,
+    )
+
+
 def last_value(column: str, order: Sequence[str], descending: bool = False) -> Running:
     """Last non-null value up to the row (`descending`: the next one from the row on)."""
     pick = F.min_by if descending else F.max_by
@@ -204,6 +212,49 @@ def last_value(column: str, order: Sequence[str], descending: bool = False) -> R
     )
 
 
+def cut(df: DataFrame, keys: Sequence[str], order: Sequence[str], pieces: int | None = None,
+        chunk: Column | None = None) -> DataFrame:
+    """The rows with the key and the chunk that `along` works by; both never change, so several passes share one shuffle."""
+    # a struct is equal to another when their fields are, null fields included
+    return with_chunks(df, order, pieces, chunk).withColumn(_KEY, F.struct(*keys) if keys else F.struct(F.lit(0)))
+
+
+def along(
+    chunked: DataFrame,
+    order: Sequence[str],
+    values: dict[str, Running],
+    *,
+    onward: dict[str, Running] | None = None,
+    totals: dict[str, Column] | None = None,
+) -> DataFrame:
+    """Add values to a frame of `cut`, which keeps its key and chunk for the next pass.
+
+    `values` go from the key's first row to this one, `onward` from the key's last row back
+    to this one, both in `order`; `totals` as in `running`.
+    """
+    onward, totals = onward or {}, totals or {}
+    passes = [(values, False), (onward, True)]
+    summary = chunked.groupBy(_KEY, _CHUNK).agg(
+        *[v.partial.alias(f"_p_{name}") for named, _ in passes for name, v in named.items()],
+        *[total.alias(f"_t_{name}") for name, total in totals.items()],
+    )
+    # at most `pieces` summary rows per key
+    every = Window.partitionBy(_KEY).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    carried, local, joined = [], [], []
+    for named, back in passes:
+        passed = (Window.partitionBy(_KEY).orderBy(F.desc(_CHUNK) if back else F.asc(_CHUNK))
+                  .rowsBetween(Window.unboundedPreceding, -1))
+        inside = Window.partitionBy(_KEY, _CHUNK).orderBy(*_sort_columns(order, back))
+        upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        for name, v in named.items():
+            carried.append(v.fold(F.col(f"_p_{name}")).over(passed).alias(f"_c_{name}"))
+            local.append(v.local.over(upto if v.framed else inside).alias(f"_l_{name}"))
+            joined.append(v.join(F.col(f"_c_{name}"), F.col(f"_l_{name}")).alias(name))
+    carried += [F.sum(f"_t_{name}").over(every).alias(f"_t_{name}") for name in totals]
+    out = chunked.select("*", *local).join(summary.select(_KEY, _CHUNK, *carried), [_KEY, _CHUNK])
+    return out.select(*chunked.columns, *joined, *[F.col(f"_t_{name}").alias(name) for name in totals])
+
+
 def running(
     df: DataFrame,
     keys: Sequence[str],
@@ -211,49 +262,24 @@ def running(
     values: dict[str, Running],
     *,
     descending: bool = False,
+    onward: dict[str, Running] | None = None,
     totals: dict[str, Column] | None = None,
     pieces: int | None = None,
     chunk: Column | None = None,
 ) -> DataFrame:
     """Add values over all rows from the key's first to this one, in `order`.
 
-    `totals` are extra aggregates over the whole key that combine by `sum`, such as its
-    row count. Cost: one scan of the order column, one shuffle of the rows, and a join
-    with the (key, chunk) summary that uses the same shuffle.
+    With `descending` they go from the key's last row back to this one; `onward` are values
+    that do so beside the others, by the same shuffle. `totals` are extra aggregates over the
+    whole key that combine by `sum`, such as its row count. Cost: one scan of the order
+    column, one shuffle of the rows, and a join with the (key, chunk) summary that uses the
+    same shuffle.
     """
-    totals = totals or {}
-    chunked = with_chunks(df, order, pieces, chunk)
-    # a struct is equal to another when their fields are, null fields included
-    keyed = chunked.withColumn(_KEY, F.struct(*keys) if keys else F.struct(F.lit(0)))
     if descending:
-        keyed = keyed.withColumn(_CHUNK, -F.col(_CHUNK))
-
-    summary = keyed.groupBy(_KEY, _CHUNK).agg(
-        *[v.partial.alias(f"_p_{name}") for name, v in values.items()],
-        *[total.alias(f"_t_{name}") for name, total in totals.items()],
-    )
-    # at most `pieces` summary rows per key
-    chunks = Window.partitionBy(_KEY).orderBy(_CHUNK)
-    earlier = chunks.rowsBetween(Window.unboundedPreceding, -1)
-    every = chunks.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    carried = summary.select(
-        _KEY, _CHUNK,
-        *[v.fold(F.col(f"_p_{name}")).over(earlier).alias(f"_c_{name}") for name, v in values.items()],
-        *[F.sum(f"_t_{name}").over(every).alias(f"_t_{name}") for name in totals],
-    )
-
-    inside = Window.partitionBy(_KEY, _CHUNK).orderBy(*_sort_columns(order, descending))
-    upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = keyed.select(
-        "*",
-        *[v.local.over(upto if v.framed else inside).alias(f"_l_{name}") for name, v in values.items()],
-    )
-    out = rows.join(carried, [_KEY, _CHUNK])
-    return out.select(
-        *df.columns,
-        *[v.join(F.col(f"_c_{name}"), F.col(f"_l_{name}")).alias(name) for name, v in values.items()],
-        *[F.col(f"_t_{name}").alias(name) for name in totals],
-    )
+        values, onward = onward or {}, values
+    chunked = cut(df, keys, order, pieces, chunk)
+    names = [*values, *(onward or {}), *(totals or {})]
+    return along(chunked, order, values, onward=onward, totals=totals).select(*df.columns, *names)
 
 
 def sliding(
@@ -334,7 +360,7 @@ def fill(df, keys, order, columns: Sequence[str], *, backward: bool = False, lim
     )
 
 
-def ranked(df, keys, order: str, ties: Sequence[str], **options) -> DataFrame:
+def ranked(df, keys, order: str, ties: Sequence[str] | None = None, **options) -> DataFrame:
     """Add every pandas rank of `order` within the key: first, min, max, average, dense and pct, and the key's size.
 
     The ranks are made over the distinct values with their counts, so a value that many
@@ -350,12 +376,12 @@ def ranked(df, keys, order: str, ties: Sequence[str], **options) -> DataFrame:
         values, keys, [order], {"rank_max": running_sum("_tie"), "rank_dense": row_number()},
         totals={"_rows": F.sum("_tie")}, **options,
     )
-    inside = running(valid, [*keys, order], list(ties), {"_nth": row_number()}, **options)
+    inside = valid if ties is None else running(valid, [*keys, order], list(ties), {"_nth": row_number()}, **options)
     out = inside.join(placed, [*keys, order])
     least = F.col("rank_max") - F.col("_tie") + 1
     average = least + (F.col("_tie") - 1) / 2
     out = out.select(
-        *df.columns, (least + F.col("_nth") - 1).alias("rank_first"), least.alias("rank_min"), "rank_max",
+        *df.columns, *([] if ties is None else [(least + F.col("_nth") - 1).alias("rank_first")]), least.alias("rank_min"), "rank_max",
         average.alias("rank_average"), "rank_dense", (average / F.col("_rows")).alias("rank_pct"),
         F.col("_rows").alias("rank_size"),
     )

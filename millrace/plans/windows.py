@@ -104,7 +104,7 @@ def running_by_type(t: Tables) -> DataFrame:
 @case("q_rank_whole_table", """
 SELECT o_orderkey, rank() OVER (ORDER BY o_totalprice) AS rk, dense_rank() OVER (ORDER BY o_totalprice) AS drk FROM orders""")
 def rank_whole_table(t: Tables) -> DataFrame:
-    out = o.ranked(t.orders.select("o_orderkey", "o_totalprice"), [], "o_totalprice", ["o_orderkey"])
+    out = o.ranked(t.orders.select("o_orderkey", "o_totalprice"), [], "o_totalprice")
     return out.select("o_orderkey", F.col("rank_min").alias("rk"), F.col("rank_dense").alias("drk"))
 
 

@@ -203,6 +203,36 @@ def test_asof_with_a_crowded_time(spark):
     assert got == {r.id: max((x for x in times if x <= r.t), default=None) for r in left.collect()}
 
 
+@pytest.mark.parametrize("exact", [True, False])
+def test_nearest_with_a_crowded_time(spark, exact):
+    """A time that fills several chunks on both sides: rows of one time are cut apart, matches are not lost."""
+    def hot(i, every):
+        return F.when(i % every == 0, 50).otherwise(i % 90).cast("int").alias("t")
+
+    left = spark.range(400).select("id", F.lit("a").alias("k"), hot(F.col("id"), 2))
+    right = spark.range(300).where("id % 90 not in (49, 52)").select(F.lit("a").alias("k"), hot(F.col("id"), 3), F.col("id").alias("v"))
+    got = joins.asof_join(left, right, "t", ["k"], direction="nearest", exact=exact, pieces=8)
+    got = sorted((r.id, r.t_right) for r in got.select("id", "t_right").collect())
+    assert got == naive_asof(left.collect(), right.collect(), "nearest", exact, None)
+
+
+def test_ranks_without_ties(rows):
+    """Without `ties` no `first` rank is made; the others stay as they are."""
+    full = o.ranked(rows, ["k"], "v", ["id"], pieces=4)
+    some = o.ranked(rows, ["k"], "v", pieces=4)
+    assert "rank_first" not in some.columns
+    same(some, full.select(*some.columns))
+
+
+def test_values_of_both_directions_share_a_cut(rows):
+    """`onward` beside running values is what a second, descending pass gives."""
+    order = ["t", "id"]
+    once = o.running(rows, ["k"], order, {"up": o.running_sum("v")}, onward={"down": o.running_sum("v")}, pieces=5)
+    twice = o.running(rows, ["k"], order, {"up": o.running_sum("v")}, pieces=5)
+    twice = o.running(twice, ["k"], order, {"down": o.running_sum("v")}, descending=True, pieces=3)
+    same(once, twice)
+
+
 def test_interval_join_equals_brute_force(spark):
     rng = random.Random(3)
     points = [(i, rng.choice("ab"), rng.randint(-50, 50)) for i in range(120)]
@@ -233,3 +263,5 @@ def test_sessions_equal_plain_window(rows):
     flagged = rows.withColumn("fresh", fresh)
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
     same(got, flagged.select("id", "k", "t", "v", F.sum("fresh").over(upto).alias("session")))
+    cut = sessionize(rows, ["k"], "t", ["id"], F.lit(3), pieces=6)
+    same(cut, got)

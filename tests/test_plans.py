@@ -55,6 +55,13 @@ def test_silver_jobs_shuffle_once(spark, build):
     assert plan(build(jobs.bronze_rows(landed))).count("Exchange") == 1
 
 
+@pytest.mark.parametrize(("name", "most"), [("q_asof_backward", 4), ("q_asof_nearest", 4), ("q_frame_sessions", 12)])
+def test_ordered_operators_cut_once(spark, name, most):
+    """Both directions of an as-of join, and both passes of sessions, work on one cut of the rows."""
+    text = plan(CASES[name].run(spark, FOLDER))
+    assert text.count("Exchange ") <= most and text.count("FileScan") <= 4
+
+
 def test_top_rows_are_limited_before_the_shuffle(tables):
     text = plan(frames.top_rows(tables.orders, ["o_custkey"], [F.desc("o_totalprice")], 2))
     assert text.count("WindowGroupLimit") == 2
