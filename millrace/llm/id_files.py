@@ -7,6 +7,7 @@ lost task's output vanish, and any store that Spark writes will do):
     first           ids of the shard before this block
     n_docs, n_ids   of this block
     width           bytes of an id, little endian: 2 for vocabularies up to 65,536, else 4
+    least, most     doc_id of the first and last document that has one
     doc_ids         64-bit, ascending
     ids             the documents' ids in a row
     low_bits, low, high, samples   the n_docs + 1 boundaries, see `EliasFano`
@@ -22,7 +23,7 @@ not read. A block ends with the document that fills it, so memory is a block and
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,8 @@ from millrace.sources.scratch import scratch
 
 BLOCK_IDS = 1 << 20
 STEP = 64  # ones between two samples
-BLOCKS = ("shard int, block bigint, first bigint, n_docs bigint, n_ids bigint, width int, doc_ids binary, null_ids bigint, "
+RUN = 4096  # documents read at a time
+BLOCKS = ("shard int, block bigint, first bigint, n_docs bigint, n_ids bigint, width int, least bigint, most bigint, doc_ids binary, null_ids bigint, "
           "ids binary, low_bits int, low binary, high binary, samples binary")
 
 
@@ -79,19 +81,32 @@ class EliasFano:
             rest |= (int(self.low[at >> 3]) >> (at & 7) & 1) << k
         return (self.select(i) - i) << self.low_bits | rest
 
+    def stretch(self, a: int, b: int) -> np.ndarray:
+        """Numbers a to b - 1; the high bits are read from the sample at or before a to the one at or after b."""
+        if a >= b:
+            return np.zeros(0, dtype=np.int64)
+        near, after = a // STEP, -(-b // STEP)
+        start, byte = int(self.samples[near]), int(self.samples[near]) >> 3
+        stop = (int(self.samples[after]) >> 3) + 1 if after < len(self.samples) else len(self.high)
+        places = np.flatnonzero(np.unpackbits(self.high[byte:stop], bitorder="little")) + 8 * byte
+        nth = np.arange(a, b, dtype=np.int64)
+        places = places[places >= start][a - near * STEP:b - near * STEP]
+        bits = nth[:, None] * self.low_bits + np.arange(self.low_bits)
+        low = (self.low[bits >> 3] >> (bits & 7).astype(np.uint8) & 1).astype(np.int64)
+        return ((places - nth) << self.low_bits) + (low << np.arange(self.low_bits)).sum(axis=1)
+
     def all(self) -> np.ndarray:
-        places = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))[:self.n]
-        low = np.unpackbits(self.low, count=self.n * self.low_bits, bitorder="little").reshape(self.n, self.low_bits)
-        return ((places - np.arange(self.n)) << self.low_bits) + (low.astype(np.int64) << np.arange(self.low_bits)).sum(axis=1)
+        return self.stretch(0, self.n)
 
 
 def _block(shard: int, block: int, first: int, doc_ids: list, ids: list[np.ndarray], width: int) -> pa.RecordBatch:
     sizes = np.array([len(x) for x in ids], dtype=np.int64)
     ends = EliasFano.of(np.concatenate([[0], np.cumsum(sizes)]))
-    nulls = sum(i is None for i in doc_ids)
+    known = [i for i in doc_ids if i is not None]
     row = {
         "shard": shard, "block": block, "first": first, "n_docs": len(ids), "n_ids": int(sizes.sum()), "width": width,
-        "doc_ids": np.array([i for i in doc_ids if i is not None], dtype="<i8").tobytes(), "null_ids": nulls,
+        "least": known[0] if known else None, "most": known[-1] if known else None,
+        "doc_ids": np.array(known, dtype="<i8").tobytes(), "null_ids": len(doc_ids) - len(known),
         "ids": np.concatenate(ids).astype(f"<u{width}").tobytes(), "low_bits": ends.low_bits,
         "low": ends.low.tobytes(), "high": ends.high.tobytes(), "samples": ends.samples.tobytes(),
     }
@@ -128,32 +143,77 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, by_word: boo
     return path
 
 
-def read(spark, path: str) -> DataFrame:
-    """One row per document of a dataset, in the order written: doc_id, start (ids of all documents before it), n_tokens, ids_crc32."""
-    blocks = spark.read.schema(BLOCKS).parquet(path)
+def _bases(blocks: DataFrame) -> DataFrame:
+    """Ids before each shard: one row per shard, of which there are as many as a shuffle has partitions."""
     sums = blocks.groupBy("shard").agg(F.sum("n_ids").alias("n"))
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    # one row per shard, of which there are as many as a shuffle has partitions
-    bases = sums.select("shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    return sums.select("shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+
+
+def _boundaries(row: dict) -> EliasFano:
+    return EliasFano(row["n_docs"] + 1, row["low_bits"], np.frombuffer(row["low"], np.uint8),
+                     np.frombuffer(row["high"], np.uint8), np.frombuffer(row["samples"], "<u4"))
+
+
+def read(spark, path: str) -> DataFrame:
+    """One row per document of a dataset, in the order written: doc_id, start (ids of all documents before it), n_tokens, ids_crc32.
+
+    The boundaries are read through the samples, `RUN` documents at a time; no table of them is made.
+    """
+    blocks = spark.read.schema(BLOCKS).parquet(path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                ends = EliasFano(row["n_docs"] + 1, row["low_bits"], np.frombuffer(row["low"], np.uint8),
-                                 np.frombuffer(row["high"], np.uint8), np.frombuffer(row["samples"], "<u4")).all()
-                ids = memoryview(np.frombuffer(row["ids"], f"<u{row['width']}").astype("<u4")).cast("B")
-                crc = [zlib.crc32(ids[4 * a:4 * b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
-                doc_ids = [None] * row["null_ids"] + np.frombuffer(row["doc_ids"], "<i8").tolist()
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([row["shard"]] * len(crc), pa.int32()), pa.array(doc_ids, pa.int64()),
-                     pa.array(ends[:-1] + row["first"]), pa.array(np.diff(ends)), pa.array(crc, pa.int64())],
-                    ["shard", "doc_id", "inside", "n_tokens", "ids_crc32"])
+                held, nulls = _boundaries(row), row["null_ids"]
+                ids, doc_ids = np.frombuffer(row["ids"], f"<u{row['width']}"), np.frombuffer(row["doc_ids"], "<i8")
+                for a in range(0, row["n_docs"], RUN):
+                    b = min(a + RUN, row["n_docs"])
+                    ends = held.stretch(a, b + 1)
+                    raw = memoryview(ids[ends[0]:ends[-1]].astype("<u4")).cast("B")
+                    at = 4 * (ends - ends[0])
+                    crc = [zlib.crc32(raw[i:j]) for i, j in zip(at[:-1].tolist(), at[1:].tolist())]
+                    named = [None] * max(0, min(nulls, b) - a) + doc_ids[max(a - nulls, 0):max(b - nulls, 0)].tolist()
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([row["shard"]] * len(crc), pa.int32()), pa.array(named, pa.int64()),
+                         pa.array(ends[:-1] + row["first"]), pa.array(np.diff(ends)), pa.array(crc, pa.int64())],
+                        ["shard", "doc_id", "inside", "n_tokens", "ids_crc32"])
 
     docs = blocks.mapInArrow(run, "shard int, doc_id bigint, inside bigint, n_tokens bigint, ids_crc32 bigint")
-    return docs.join(F.broadcast(bases), "shard").select(
+    return docs.join(F.broadcast(_bases(blocks)), "shard").select(
         "doc_id", (F.col("base") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32")
 
 
+def look_up(spark, path: str, doc_ids: Sequence[int]) -> DataFrame:
+    """doc_id, start and ids (array) of the documents asked for, one row for each that has the id; unknown ids give none.
+
+    Only blocks whose range holds an id asked for are opened, and of those two boundaries by
+    document, each by `select`. The ids asked for go along with every task, so they are a short list.
+    """
+    asked = sorted(set(doc_ids))
+    if not asked:
+        return spark.createDataFrame([], "doc_id bigint, start bigint, ids array<bigint>")
+    blocks = spark.read.schema(BLOCKS).parquet(path)
+    held_ids = F.exists(F.array(*map(F.lit, asked)), lambda i: i.between(F.col("least"), F.col("most")))
+    near = blocks.where((F.col("least") <= asked[-1]) & (F.col("most") >= asked[0]) & held_ids)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                ends, ids = _boundaries(row), np.frombuffer(row["ids"], f"<u{row['width']}")
+                known = np.frombuffer(row["doc_ids"], "<i8")
+                lo, hi = np.searchsorted(known, asked, "left"), np.searchsorted(known, asked, "right")
+                for i in (i for a, b in zip(lo.tolist(), hi.tolist()) for i in range(a, b)):
+                    start, end = ends[i + row["null_ids"]], ends[i + row["null_ids"] + 1]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([row["shard"]], pa.int32()), pa.array([int(known[i])], pa.int64()),
+                         pa.array([start + row["first"]], pa.int64()),
+                         pa.array([ids[start:end].astype(np.int64)], pa.list_(pa.int64()))], ["shard", "doc_id", "inside", "ids"])
+
+    found = near.mapInArrow(run, "shard int, doc_id bigint, inside bigint, ids array<bigint>")
+    return found.join(F.broadcast(_bases(blocks)), "shard").select("doc_id", (F.col("base") + F.col("inside")).alias("start"), "ids")
+
+
 def write_and_read(docs: DataFrame, **options) -> DataFrame:
     path = write(docs, scratch(docs.sparkSession, "ids"), **options)
     return read(docs.sparkSession, path)

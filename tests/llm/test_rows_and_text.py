@@ -82,9 +82,74 @@ def test_perspectives_of_nulls_ties_and_parts(spark):
     assert len(got[1, "bob", 0]["mask"].split(",")) == 2
     halves = perspectives.perspectives(table.where("conv_id = 1"), part_turns=2).where("perspective = 'ann'").orderBy("part").collect()
     assert [r["n_turns"] for r in halves] == [2, 2, 1] and "".join(r["text"] for r in halves) == ann["text"]
+    assert [r["opening"] for r in halves] == ["", "<|system|>\nbe kind<|end|>\n", "<|system|>\nbe kind<|end|>\n"]
     assert perspectives.perspectives(table.limit(0)).count() == 0
 
 
+def test_parts_open_with_the_system_turn_in_force(spark):
+    """A talk of many parts with system turns between, against a plain walk over its turns."""
+    turns = [(7, i, "system" if i % 5 == 3 else "ab"[i % 2], f"t{i}") for i in range(40)]
+    table = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    got = {(r["perspective"], r["part"]): r for r in perspectives.perspectives(table, part_turns=4).collect()}
+    assert len(got) == 20
+    for (_, part), row in got.items():
+        before, first = [t for t in turns[:4 * part] if t[2] == "system"], turns[4 * part]
+        assert row["opening"] == (f"<|system|>\n{before[-1][3]}<|end|>\n" if before and first[2] != "system" else "")
+
+
+def test_codes_of_every_country_and_redaction(spark):
+    """Account numbers with right check digits of every country are found, with a wrong one not; all spans are replaced."""
+    codes = []
+    for country, length in pii.IBAN_LENGTHS.items():
+        body = "".join(str((i * 7 + length) % 10) for i in range(length - 4))
+        number = int("".join(str(int(c, 36)) for c in body + country + "00"))
+        codes.append((f"{country}{98 - number % 97:02d}{body}", f"{country}{(98 - number % 97) % 96 + 2:02d}{body}"))
+    rows = [(i, f"bank account {good}, and {wrong} é", "a") for i, (good, wrong) in enumerate(codes)]
+    rows += [(900, "😀 mail a.b@c.de now, 1.2.3.4 ip", "a"), (901, None, "a"), (902, "", "a"), (None, "plain", None)]
+    table = docs(spark, rows)
+    got = {r["doc_id"]: r for r in pii.digest(table).collect()}
+    for i, (good, wrong) in enumerate(codes):
+        assert good != wrong and f"iban:13:{13 + len(good)}" in got[i]["spans"].split(",") and got[i]["n_iban"] == 1, good
+    clean = {r["doc_id"]: r["text"] for r in pii.redact(table).collect()}
+    assert clean[900] == "😀 mail <email> now, <ip> ip" and clean[None] == "plain" and not clean[901] and clean[902] == ""
+    assert all(clean[i].startswith("bank account <iban>, and ") for i in range(len(codes)))
+
+
+def test_toxicity_fit_is_the_greatest_likelihood():
+    """The fit against a plain likelihood, row by row: no step along a weight or a cut makes it greater."""
+    import math
+
+    import numpy as np
+
+    pick = np.random.default_rng(4)
+    rows, n = 90, 3
+    has = pick.random((rows, n)) < 0.4
+    times, size = pick.integers(1, 5, (rows, n)), pick.integers(5, 60, rows)
+    toxic = has[:, 0] & (pick.random(rows) < 0.8) | (pick.random(rows) < 0.1)
+    row, place = np.nonzero(has)
+    model = toxicity.fit(np.arange(n).astype(np.uint64), np.array([1.0, 1.0, -1.0]), place, row, times[row, place], size, toxic)
+    rate = np.log1p(100 * times / (size[:, None] + 50))
+    lean = (rate * has)[:, :2].sum(axis=1)
+    thirds = np.quantile(lean[toxic], [1 / 3, 2 / 3])
+    grade = [0 if not toxic[i] else 1 + sum(lean[i] > q for q in thirds) for i in range(rows)]
+
+    def likelihood(p):
+        total = -toxicity.PENALTY / 2 * sum(x * x for x in p[:2 * n])
+        for i in range(rows):
+            at = sum((p[j] + p[n + j] * rate[i, j]) for j in range(n) if has[i, j])
+            above = [1.0, *(1 / (1 + math.exp(-(at - cut))) for cut in p[2 * n:]), 0.0]
+            total += math.log(above[grade[i]] - above[grade[i] + 1])
+        return total
+
+    best = [*model.occurs, *model.often, *model.cuts]
+    assert list(model.cuts) == sorted(model.cuts)
+    top = likelihood(best)
+    for k in range(len(best)):
+        for step in (-0.05, 0.05):
+            assert likelihood([x + step * (j == k) for j, x in enumerate(best)]) < top + 1e-3
+    assert top > likelihood([0.0] * (2 * n) + list(model.cuts))
+
+
 def test_toxicity_on_made_rows(spark):
     good = [(i, f"the garden was calm and word{i % 13} grew", "a") for i in range(120)]
     bad = [(500 + i, f"you vile scum word{i % 13} {'vile ' * (i % 4)}", "a") for i in range(60)]

@@ -78,6 +78,8 @@ def test_elias_fano():
         values = np.sort(pick.integers(0, most + 1, n))
         ef = id_files.EliasFano.of(values)
         assert ef.all().tolist() == values.tolist() == [ef[i] for i in range(n)]
+        for a, b in pick.integers(0, n + 1, (30, 2)).tolist():
+            assert ef.stretch(a, b).tolist() == values[a:b].tolist()
     values = np.cumsum(pick.integers(1, 2000, 100_000))
     ef = id_files.EliasFano.of(values)
     assert 8 * sum(x.nbytes for x in (ef.low, ef.high, ef.samples)) < 14 * len(values)
@@ -96,3 +98,19 @@ def test_id_files_round_trip(spark, block_ids):
     ids = [r.doc_id if r.doc_id is not None else -1 for r in sorted(out, key=lambda r: r.start)]
     assert ids == sorted(ids)
     assert id_files.write_and_read(frame(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("block_ids", [1, 50, 1 << 20])
+def test_look_up_of_documents(spark, tmp_path, block_ids, monkeypatch):
+    """Documents asked for by id come with the ids and the start that a read of everything gives."""
+    monkeypatch.setattr(id_files, "RUN", 7)
+    rows = [*((3 * i, t) for i, t in enumerate(texts(60))), (9, "twice"), (9, "twice"), (None, "no id"), (None, "nor here")]
+    path = id_files.write(frame(spark, rows), str(tmp_path / "ids"), block_ids=block_ids)
+    starts = {}
+    for r in id_files.read(spark, path).collect():
+        starts.setdefault(r.doc_id, set()).add((r.start, r.n_tokens, r.ids_crc32))
+    asked = [0, 9, 10, 33, 3 * 59, -5, 10**12]
+    got = id_files.look_up(spark, path, asked).collect()
+    assert len(got) == sum(len(starts[i]) for i in asked if i in starts)
+    assert all((r.start, len(r.ids), crc(r.ids)) in starts[r.doc_id] for r in got)
+    assert id_files.look_up(spark, path, []).count() == 0 and id_files.look_up(spark, path, [10]).count() == 0
