@@ -155,11 +155,11 @@ def archive_line_stream(spark: SparkSession, folder: str, suffix: str = ".csv",
     return spark.readStream.format("zip_lines").options(**_options(spark, folder, suffix, range_bytes)).load()
 
 
-def write_archives(rows: DataFrame, folder: str, header: str, stored: bool = False) -> DataFrame:
+def write_archives(rows: DataFrame, folder: str, header: str, stored: bool = False, member: str = "rows.csv") -> DataFrame:
     """Write the one text column of `rows` as one archive of one member for each partition, from the executors.
 
     An archive is named by its partition and put in place in one step, so a retried task
-    replaces its own. Gives the paths once the frame is run.
+    replaces its own; `{part}` in the member's name is the partition's number. Gives the paths once the frame is run.
     """
     target = qualified(rows.sparkSession, folder)
 
@@ -173,8 +173,9 @@ def write_archives(rows: DataFrame, folder: str, header: str, stored: bool = Fal
         context = TaskContext.get()
         part, path = f"{base}/_{uuid.uuid4().hex}", f"{base}/part-{context.partitionId():05d}.zip"
         kind = zipfile.ZIP_STORED if stored else zipfile.ZIP_DEFLATED
-        with store.open_output_stream(part) as out, zipfile.ZipFile(out, "w", kind) as archive, archive.open("rows.csv", "w", force_zip64=True) as member:
-            text = io.TextIOWrapper(member, "utf-8", newline="")
+        with store.open_output_stream(part) as out, zipfile.ZipFile(out, "w", kind) as archive, archive.open(
+                member.format(part=f"{context.partitionId():05d}"), "w", force_zip64=True) as inside:
+            text = io.TextIOWrapper(inside, "utf-8", newline="")
             text.write(header + "\n")
             for batch in batches:
                 text.writelines(f"{line}\n" for line in batch.column(0).to_pylist())

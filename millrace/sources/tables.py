@@ -28,6 +28,17 @@ def replace(df: DataFrame, table: str, path: str, partition_by: Sequence[str] =
     create_or_replace(df, table, path, partition_by)
 
 
+def bucketed(df: DataFrame, table: str, path: str, keys: Sequence[str], buckets: int | None = None) -> None:
+    """A new table whose rows lie in buckets of the keys, sorted in them; as many as a shuffle has partitions, if not told.
+
+    Tables with the same keys and number of buckets are joined and grouped by these keys
+    without a shuffle. The rows are dealt by the keys first, so a bucket is one file.
+    """
+    buckets = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.repartition(buckets, *keys)
+    dealt.write.format("parquet").option("path", path).bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
+
+
 def append(df: DataFrame, table: str) -> None:
     """Add rows, columns matched by name."""
     _by_name(df, table).write.insertInto(table)

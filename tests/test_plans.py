@@ -55,6 +55,17 @@ def test_silver_jobs_shuffle_once(spark, build):
     assert plan(build(jobs.bronze_rows(landed))).count("Exchange") == 1
 
 
+def test_bucketed_sides_are_not_shuffled(spark):
+    text = plan(CASES["q_table_bucketed_join"].run(spark, FOLDER))
+    assert "SortMergeJoin" in text and "hashpartitioning(o_orderkey" not in text and "hashpartitioning(l_orderkey" not in text
+    assert text.count("Exchange ") == 1  # of the sums
+
+
+def test_recovered_partitions_are_pruned(spark):
+    text = plan(CASES["q_table_recovered"].run(spark, FOLDER))
+    assert "PartitionFilters: [isnotnull(o_orderstatus" in text
+
+
 @pytest.mark.parametrize(("name", "most"), [("q_asof_backward", 4), ("q_asof_nearest", 4), ("q_frame_sessions", 12)])
 def test_ordered_operators_cut_once(spark, name, most):
     """Both directions of an as-of join, and both passes of sessions, work on one cut of the rows."""

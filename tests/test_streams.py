@@ -165,3 +165,39 @@ def test_logistic_steps(spark):
     for _ in range(12):
         model.update(df, ["x"], "y")
     assert model.weights[1] > 1
+
+
+def test_row_files_of_a_repeated_and_a_failed_task(spark, tmp_path):
+    """A task that runs again replaces its file; one that fails leaves nothing that a reader sees."""
+    from pyspark.sql import Row
+
+    from millrace.streaming.sinks import RowFile
+
+    def task(rows, batch, partition, error=None):
+        writer = RowFile(f"file:{tmp_path}/out")
+        assert writer.open(partition, batch)
+        for r in rows:
+            writer.process(Row(id=r, inner=Row(x=None, text="é\n")))
+        writer.close(error)
+
+    task([1, 2], 0, 0)
+    task([1, 2], 0, 0)
+    task([3], 0, 1)
+    task([9], 1, 0, ValueError("lost"))
+    back = spark.read.schema("id int, inner struct<x: int, text: string>").json(f"{tmp_path}/out")
+    assert sorted((r.id, r.inner.x, r.inner.text) for r in back.collect()) == [(i, None, "é\n") for i in (1, 2, 3)]
+    assert len(list((tmp_path / "out").iterdir())) == 2
+
+
+def test_a_restarted_table_stream_goes_on(spark, tmp_path):
+    from millrace.streaming.sinks import finish, row_files
+    from millrace.streaming.sources import file_stream
+
+    def more(ids):
+        spark.createDataFrame([(i,) for i in ids], "id int").write.mode("append").json(f"{tmp_path}/in")
+        stream = file_stream(spark, f"{tmp_path}/in", "id int", "json")
+        finish(row_files(stream, f"{tmp_path}/out", f"{tmp_path}/state"))
+        return sorted(r.id for r in spark.read.schema("id int").json(f"{tmp_path}/out").collect())
+
+    assert more([1, 2, 3]) == [1, 2, 3]
+    assert more([4]) == [1, 2, 3, 4]
