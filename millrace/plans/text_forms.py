@@ -25,6 +25,22 @@ def text_case_shape(t: Tables) -> DataFrame:
     )
 
 
+@case("q_text_title_center", """
+SELECT p_partkey, array_to_string(list_transform(string_split(n, ' '), lambda w: upper(w[1]) || lower(w[2:])), ' ') AS titled,
+       repeat('*', e // 2) || n || repeat('*', e - e // 2) AS even_, repeat('*', o // 2 + o % 2) || n || repeat('*', o // 2) AS odd_,
+       length(p_brand)::INTEGER AS last_hash, p_brand AS before_, p_size::VARCHAR AS after_, n AS whole, p_partkey % 2 = 0 AS numeric_, p_partkey % 3 = 0 AS title_
+FROM (SELECT *, p_name AS n, greatest(14 - length(p_name), 0) AS e, greatest(15 - length(p_name), 0) AS o FROM part)""")
+def text_title_center(t: Tables) -> DataFrame:
+    n, tagged = F.col("p_name"), F.concat_ws("#", "p_brand", "p_size")
+    mixed = F.when(F.col("p_partkey") % 2 == 0, F.col("p_size").cast("string")).otherwise(F.col("p_brand"))
+    cased = F.when(F.col("p_partkey") % 3 == 0, tx.title(n)).otherwise(n)
+    return t.part.select(
+        "p_partkey", tx.title(n).alias("titled"), tx.center(n, 14, "*").alias("even_"), tx.center(n, 15, "*").alias("odd_"),
+        tx.index_of(tagged, "#", last=True).alias("last_hash"), tx.rpartition(tagged, "#")[0].alias("before_"), tx.rpartition(tagged, "#")[2].alias("after_"),
+        tx.rpartition(n, "#")[2].alias("whole"), tx.is_class(mixed, "isnumeric").alias("numeric_"), tx.is_class(cased, "istitle").alias("title_"),
+    )
+
+
 @case("q_text_search", """
 SELECT doc_id, instr(text, 'an')::INTEGER - 1 AS f, CASE WHEN instr(reverse(text), 'na') = 0 THEN -1 ELSE length(text) - instr(reverse(text), 'na') - 1 END::INTEGER AS rf,
        regexp_matches(text, '^[A-Z]') AS m, len(regexp_extract_all(text, '[aeiou]'))::INTEGER AS vowels, array_to_string(regexp_extract_all(text, '[A-Z][a-z]+'), ' ') AS caps,
