@@ -159,6 +159,14 @@ def frame_cumprod(t: Tables) -> DataFrame:
     return out.select("event_id", F.round("p", 5).alias("cumprod"))
 
 
+def _ieee_divide(a: Column, b: Column) -> Column:
+    """a / b as IEEE 754 doubles give it: a zero divisor yields inf, -inf or NaN, not an error."""
+    negative_zero = F.atan2(F.lit(0.0), b) > 0  # -0.0 flips the sign of the infinity
+    sign = F.signum(a) * F.when(negative_zero, F.lit(-1.0)).otherwise(F.lit(1.0))
+    by_zero = F.when(a.isNaN() | (a == 0), F.lit(float("nan"))).otherwise(sign * F.lit(float("inf")))
+    return F.when(b == 0, by_zero).otherwise(a / b)
+
+
 @case("q_frame_pct_change", f"""
 SELECT event_id, round(value / lag(value) OVER w - 1, 6) AS pct, round(value - lag(value, 3) OVER w, 4) AS diff3, lag(value, 1, 0.0) OVER w AS shifted FROM events {_W}""")
 def frame_pct_change(t: Tables) -> DataFrame:
@@ -167,7 +175,7 @@ def frame_pct_change(t: Tables) -> DataFrame:
     v = F.col("value")
     # a value is never null here, so only the first row of a type has nothing before it
     return out.select(
-        "event_id", F.round(v / F.col("b1") - 1, 6).alias("pct"), F.round(v - F.col("b3"), 4).alias("diff3"),
+        "event_id", F.round(_ieee_divide(v, F.col("b1")) - 1, 6).alias("pct"), F.round(v - F.col("b3"), 4).alias("diff3"),
         F.coalesce("b1", F.lit(0.0)).alias("shifted"),
     )
 
