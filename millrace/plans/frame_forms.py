@@ -372,8 +372,10 @@ SELECT event_id, CASE WHEN event_id % 3 <> 0 THEN strftime(ts, '%Y-%m-%d %H:%M:%
 def frame_to_datetime(t: Tables) -> DataFrame:
     text = F.when(F.col("event_id") % 3 == 0, F.lit("none")).otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
     maybe = F.when(F.col("event_id") % 2 == 0, F.col("value").cast("string")).otherwise(F.lit("x1"))
-    span = num.to_timedelta(F.col("event_id").cast("int"), "HOUR")
-    whole = F.extract(F.lit("DAY"), span) * 86400 + F.extract(F.lit("HOUR"), span) * 3600
+    # days and hours apart, so that ids past the int range still fit; sums in bigint, as the days alone pass it
+    hours = F.col("event_id")
+    span = num.to_timedelta((hours.cast("decimal(20,0)") / 24).cast("int"), "DAY") + num.to_timedelta((hours % 24).cast("int"), "HOUR")
+    whole = F.extract(F.lit("DAY"), span).cast("bigint") * 86400 + F.extract(F.lit("HOUR"), span).cast("bigint") * 3600
     return t.events.select(
         "event_id", F.date_format(F.try_to_timestamp(text), "yyyy-MM-dd HH:mm:ss").alias("parsed"), num.to_numeric(maybe).alias("number"),
         whole.cast("bigint").alias("seconds"),

@@ -22,3 +22,11 @@ def test_pct_change_after_a_zero_value(spark, tmp_path):
     assert got[4] == -math.inf
     assert math.isnan(got[6])
     assert got[7] == math.inf
+
+
+def test_to_datetime_seconds_past_int_range(spark, tmp_path):
+    t0 = dt.datetime(2024, 1, 1)
+    ids = [3, 596_524, 6_000_001, 2_500_000_000]
+    rows = [(i, t0, 1, "a", 1.5, None) for i in ids]
+    got = {r.event_id: r.seconds for r in entry.queries()["q_frame_to_datetime"](spark, _events(spark, tmp_path, rows)).collect()}
+    assert got == {i: i * 3600 for i in ids}
