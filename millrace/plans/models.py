@@ -69,10 +69,19 @@ _add_classifier("q_model_one_vs_rest", lambda: mc.OneVsRest(classifier=mc.Logist
 _add_classifier("q_model_fm_classifier", lambda: mc.FMClassifier(factorSize=2, maxIter=30, stepSize=0.1, seed=1))
 
 
+FIT_ROWS = 1 << 20  # rows of a partition that a tree model caches and reads again on every pass
+
+
+def bounded(df: DataFrame, rows: int = FIT_ROWS) -> DataFrame:
+    """All rows of `df`, dealt so that no partition holds more than about `rows`, however large the table."""
+    parts = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // rows))
+    return df.repartition(parts)
+
+
 def _add_regressor(name: str, estimator) -> None:
     @case(name, "SELECT count(*) AS n, TRUE AS better FROM lineitem")
     def build(t: Tables) -> DataFrame:
-        df = flat_lines(t)
+        df = bounded(flat_lines(t))
         return _better_number(estimator().fit(df).transform(df))
 
 
