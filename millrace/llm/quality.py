@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.frames import bytes_of, hash_words, mixed, slices, words_of, written
+from millrace.llm.frames import bytes_of, hash_words, mixed, slices, trim, words_of, written
 
 ORDER = 5       # an id holds up to 7 bytes
 QUANTILE = 0.995
@@ -48,7 +48,7 @@ DRAW = 100.0
 MARGIN = 2.0
 HEAD = 1 << 17
 FILTER_BITS = 1 << 26
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 4 << 20  # of text at a time; what a slice makes is freed before the next, so a worker stays small
 WORDS = 1 << 15  # different words looked at together, so that the arrays between stay small
 _BLANK = 0x20
 _WORD_KEYS = ("millrace-llm-key", "millrace-llm-two")  # 128 bits that tell words apart
@@ -102,6 +102,7 @@ def count(texts: DataFrame, order: int, others: bool = False) -> DataFrame:
                 times = np.bincount(codes, minlength=len(words))
                 ids, n = longest(words.filter(pa.array(times > 0)), times[times > 0], order)  # white space at an end leaves an empty one
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), m)), pa.array(ids.astype(np.int64)), pa.array(n)], ["m", "id", "raw"])
+            trim()
 
     rows = texts.select("text", "m").mapInArrow(run, "m bigint, id bigint, raw bigint")
     if others:
@@ -297,6 +298,7 @@ def score(docs: DataFrame, table: DataFrame, order: int = ORDER, head_size: int
                 row += part.num_rows
                 mine = np.searchsorted(mine, word)
                 yield _record(schema_of, m=np.full(len(ids), m), word=names[0][mine], other=names[1][mine], id=ids, predicted=predicted, context=context)
+            trim()
 
     schema_of = docs.sparkSession.createDataFrame([], schema).toArrow().schema
     found = written(base.mapInArrow(run, schema), "scored")

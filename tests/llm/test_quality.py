@@ -148,3 +148,16 @@ def test_clean_texts_of_small_languages_stay(spark):
     assert len(out) == len(docs) and set(range(9000, 9010)) <= gone
     assert not {i for i in gone if 1000 <= i < 9000} and len(gone) <= 16
     assert {r.lang: r.threshold is not None for r in out} == {"x": True, "y": True, "z": True, "w": False}
+
+
+def test_a_worker_takes_text_in_small_slices():
+    """Counting and scoring go through a batch a few MB of text at a time, so a worker's memory stays bounded, whatever its batch holds."""
+    import pyarrow as pa
+
+    from millrace.llm.frames import slices
+
+    text = "word " * 200_000  # a MB a row
+    batch = pa.RecordBatch.from_arrays([pa.array([text] * 20)], ["text"])
+    pieces = list(slices(iter([batch]), "text", Q.SLICE_BYTES))
+    assert sum(p.num_rows for p in pieces) == 20
+    assert max(sum(len(t) for t in p["text"].to_pylist()) for p in pieces) <= 4 << 20
