@@ -115,3 +115,29 @@ def test_texts_of_one_id_are_documents_of_their_own(spark):
     out = M.near_dedup(frame).collect()
     assert len(out) == len(rows) and sorted(r.doc_id or -1 for r in out if r.kept) == [-1, -1, 7, 7]
     assert {(r.doc_id, r.class_id) for r in out} == {(None, None), (5, None), (9, None), (7, 7), (8, 7)}
+
+
+def boilerplate():
+    """600 texts, a fifth of which begin with the same 100 words and go on with ten of their own."""
+    same = " ".join(f"s{i}" for i in range(100))
+    return [(i, (same if i < 120 else " ".join(f"t{i}_{k}" for k in range(100))) + " " + " ".join(f"o{i}_{k}" for k in range(10))) for i in range(600)]
+
+
+def test_every_shingle_is_counted_and_weighs_by_its_count(spark):
+    rows = [*boilerplate(), (600, boilerplate()[599][1]), (601, "p q r s t p q r s t p q r s t")]
+    weights = M.weights_of(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5))
+    hashes, row, _ = M.shingles(pa.array([t for _, t in rows]))
+    df = Counter(hashes.tolist())
+    got = {r.node: r for r in weights.documents.collect()}
+    assert sorted(got) == [i for i, _ in rows] and weights.n == len(rows)
+    for i, _ in rows:
+        own = hashes[row == i]
+        assert (M._unpacked(bytes(got[i].dfs), len(own)) + 1).tolist() == [df[h] for h in own.tolist()]
+    assert {1, 2, 120} <= set(df.values())
+    rising = M.idf(np.array([1, 2, 50, 120, 175, 176, 400, 702]), 602)
+    assert (np.diff(rising) < 0).all() and abs(rising[4] - 1) < 0.01
+
+
+def test_a_passage_of_many_documents_does_not_make_them_near(spark):
+    frame = spark.createDataFrame(boilerplate(), "doc_id bigint, text string")
+    assert {(r.doc_id, r.class_id) for r in M.near_dedup(frame).collect()} == {(i, i) for i in range(600)}
