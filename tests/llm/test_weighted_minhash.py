@@ -141,3 +141,10 @@ def test_every_shingle_is_counted_and_weighs_by_its_count(spark):
 def test_a_passage_of_many_documents_does_not_make_them_near(spark):
     frame = spark.createDataFrame(boilerplate(), "doc_id bigint, text string")
     assert {(r.doc_id, r.class_id) for r in M.near_dedup(frame).collect()} == {(i, i) for i in range(600)}
+
+
+def test_the_pipeline_keeps_documents_that_share_a_passage_of_many(spark):
+    from corpus_pipeline import near
+
+    frame = spark.createDataFrame(boilerplate(), "doc_id bigint, text string")
+    assert near(spark, frame, "").count() == 600
